@@ -43,6 +43,7 @@ _SEPARATORS = re.compile(r"\s*[|·>/»•]\s*|\s{2,}|\s*　\s*")
 _WORDS = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 _NAME = re.compile(r"[A-Z][^\W\d_]{4,}")
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
+_DAY = re.compile(r"\b(?:mon|tue|wed|thu|fri|sat|sun)(?:s|nes|rs|ur)?(?:day)?\b|(?<=周)[一二三四五六日天]")
 
 
 def _hash(*parts: str) -> int:
@@ -83,7 +84,7 @@ def _features(line: str, following: str | None, site: str) -> tuple[str, list[st
         if 2 <= len(words) <= 14 and not han and all(w[0].isupper() for w in words) and not re.search(r"[^\w\s'’-]", line.strip()):
             return "menu", [w.lower() for w in words]
     text = re.sub(r"[\W_]+", " ", re.sub(r"\d+", "9", line.lower())).strip()
-    text = text.replace(site, "@") if site else text
+    text = _DAY.sub("9", text.replace(site, "@") if site else text)
     words = text.split()
     if _HAN.search(line):
         return "text", [text] if len(text) > 18 else [text, f"{text[:2]}*{text[-6:]}"]
