@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,18 +34,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared_dir(spark: SparkSession) -> str:
+_LOCAL: dict[str, str] = {}
+
+
+def _folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="digestflow-checkpoint-")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="digestflow-")
+        atexit.register(shutil.rmtree, _LOCAL[app], True)
+    return _LOCAL[app]
+
+
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write a frame to the shared checkpoint folder and read it back: lineage ends there, so lost executors cost no recomputation."""
+    path = f"{_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise a frame in the shared checkpoint folder and drop its lineage (survives lost executors)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that cut() wrote and that nothing reads any more."""
+    path = getattr(df, "_cut_path", None)
+    if path:
+        spark = df.sparkSession
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
