@@ -218,4 +218,4 @@ def main_bodies(records: DataFrame, sources: DataFrame | None = None, repeated_o
 
 def removed_lines(records: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     """(ordinal, line_no) of every non-blank line outside the main body."""
-    return main_bodies(records, sources).select("ordinal", F.explode("dropped").cast("long").alias("line_no"))
+    return main_bodies(records, sources).select("ordinal", F.explode(F.col("dropped").cast("array<bigint>")).alias("line_no"))
