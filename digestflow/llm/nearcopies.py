@@ -30,10 +30,10 @@ BANDS, ROWS, SKETCH_BITS = 32, 3, 128
 THRESHOLD, RADIUS = 0.5, 52
 BLOCK = 256
 _WORD = re.compile(r"[^\W_]+")
+_ASCII_BREAKS = {c: " " for c in range(128) if not chr(c).isalnum()}
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
 _rng = np.random.default_rng(20240229)
-_A = (_rng.integers(1, 1 << 32, SKETCH_BITS, dtype=np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
-_B = _rng.integers(0, 1 << 62, SKETCH_BITS, dtype=np.uint64)[:, None]
+_A = (_rng.integers(0, 1 << 63, SKETCH_BITS, dtype=np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -46,11 +46,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def runs(text: str, words: dict[str, int], width: int = 3) -> tuple[int, np.ndarray]:
     """Key of the normalised text and the sorted distinct hashes (32 bits) of its runs; key 0 for a text without words."""
     text = text.lower()
-    if len(_HAN.findall(text)) * 4 > len(text):
+    plain = text.isascii()
+    if not plain and len(_HAN.findall(text)) * 4 > len(text):
         joined = "".join(_WORD.findall(text))
         units = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     else:
-        found = _WORD.findall(text)
+        found = text.translate(_ASCII_BREAKS).split() if plain else _WORD.findall(text)
         joined = " ".join(found)
         ids = []
         for w in found:
@@ -73,8 +74,9 @@ def runs(text: str, words: dict[str, int], width: int = 3) -> tuple[int, np.ndar
 
 def min_hashes(run_hashes: np.ndarray) -> np.ndarray:
     """SKETCH_BITS min-hashes of a set of run hashes."""
-    x = run_hashes.astype(np.uint64)[None, :] * _A + _B
-    return _mix((x ^ (x >> np.uint64(29))).min(axis=1))
+    x = _mix(run_hashes.astype(np.uint64) + _M2)[None, :] * _A
+    x ^= x >> np.uint64(32)
+    return _mix((x * _M1).min(axis=1))
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from digestflow.llm import lines
 from digestflow.llm.base import bounded_keys
+from digestflow.session import cut
 
 IMPORTANCE = 0.85
+LONG = 200
 MAX_BROADCAST_FEATURES = 1_000_000
 
-_TERMINAL = re.compile(r"[.!?。！？][\"'”’」』)）»]*\s*$")
+_TERMINAL = re.compile(r"[.!?。！？][\"'”’」』)）»]*\s*\Z")
 _ITEM = re.compile(r"^\s*[-–]\s+\S")
 _NUMBERED = re.compile(r"^\s*\d+[.、)]\s*\S")
 _LABEL = re.compile(r"^\W*([^\W_](?:[^:：。！？!?]{0,34}[^\s:：。！？!?])?)\s?[:：](?!//)\s*\S")
@@ -57,13 +59,15 @@ def _story(title: str | None) -> int:
 
 def _features(line: str, following: str | None, site: str) -> tuple[str, list[str]]:
     """Style of a line and its content features; style `para` has none and is always kept."""
+    if len(line) > LONG:
+        return ("para", []) if _TERMINAL.search(line.rstrip()[-6:]) else ("text", [line.lower()])
     if _CLOSING.search(line) or _ITEM.match(line):
         return "para", []
     if _MARK.search(line):
         return "mark", [m.lower() for m in _MARK.findall(line)]
     if _NUMBERED.match(line):
         return "numbered", ["9."]
-    terminal = _TERMINAL.search(line) is not None
+    terminal = _TERMINAL.search(line.rstrip()[-6:]) is not None
     if terminal and (len(line) > 90 or len(_WORDS.findall(line)) > 6 or (_HAN.search(line) and len(line) > 12)):
         return "para", []
     if not terminal:
@@ -143,7 +147,7 @@ def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def style_tree(prepared: DataFrame) -> DataFrame:
     """(style, feature, pages, importance): the merged tree's leaves."""
-    spread = prepared.select("title", "summary", "_hot", "_site").mapInPandas(_count_features, "style string, feature long, story long").distinct()
+    spread = cut(prepared.select("title", "summary", "_hot", "_site").mapInPandas(_count_features, "style string, feature long, story long").distinct(), "features")
     leaves = spread.groupBy("style", "feature").agg(F.count("*").alias("pages"))
     styles = spread.select("style", "story").distinct().groupBy("style").agg(F.count("*").alias("all_pages"))
     importance = F.lit(1.0) - F.log("pages") / F.log(F.greatest(F.col("all_pages"), F.lit(2)))
