@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,7 @@ def build_session(app: str = "digestflow", master: str = "local[*]", shuffle_par
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
@@ -35,6 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def _folder(spark: SparkSession) -> str:
@@ -66,3 +70,16 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so their Python workers can import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="digestflow-package-")) / "digestflow_package.zip"
+        with zipfile.ZipFile(target, "w") as archive:
+            for path in sorted(root.rglob("*.py")):
+                archive.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(target))
+        _SHIPPED.add(context.applicationId)
