@@ -12,9 +12,9 @@ HAN = r"\x{2E80}-\x{2FDF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
 
 
 def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ordinal, source, title, summary) of raw_items and of the items inside news_events."""
-    raw = table(spark, sf_dir, "raw_items").select("ordinal", "source", "title", "summary")
-    items = table(spark, sf_dir, "news_events").select(F.explode("items").alias("i")).select("i.ordinal", "i.source", "i.title", "i.summary")
+    """(ordinal, source, title, summary, counted) of raw_items (counted) and of the items inside news_events."""
+    raw = table(spark, sf_dir, "raw_items").select("ordinal", "source", "title", "summary", F.lit(True).alias("counted"))
+    items = table(spark, sf_dir, "news_events").select(F.explode("items").alias("i")).select("i.ordinal", "i.source", "i.title", "i.summary", F.lit(False).alias("counted"))
     return raw.unionByName(items)
 
 

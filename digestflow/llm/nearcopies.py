@@ -5,9 +5,9 @@ runs give banded keys, which propose pairs, and a sketch of one bit per hash. Pr
 their sketches (bitslice.py) and then an exact Jaccard check on the runs; accepted links are contracted to components.
 Records with one and the same text are one node throughout, so a text repeated in a third of all rows costs one row.
 
-With 32 bands of 3 hashes a link at exactly one half is proposed with probability 0.986, at 0.6 with 0.9996; the sketch radius
-is four standard deviations beyond the expected distance at one half. Buckets larger than a block are compared block against
-block in separate tasks. Records without any word match nothing; null titles and summaries count as empty; rows repeated under
+With 24 bands of 3 hashes a link at exactly one half is proposed with probability 0.959, at 0.6 with 0.997, at 0.7 with 0.99995; the sketch radius
+is four standard deviations beyond the expected distance at one half. The band rows carry the sketch, so a bucket is compared where it
+lies; buckets larger than a block are compared block against block in separate tasks. Records without any word match nothing; null titles and summaries count as empty; rows repeated under
 other ordinals are members of one group.
 """
 
@@ -26,9 +26,10 @@ from digestflow.llm import bitslice
 from digestflow.operators.components import connected_components
 from digestflow.session import cut
 
-BANDS, ROWS, SKETCH_BITS = 32, 3, 128
+BANDS, ROWS, SKETCH_BITS = 24, 3, 128
 THRESHOLD, RADIUS = 0.5, 52
 BLOCK = 256
+FILTER_BITS = 1 << 21
 _WORD = re.compile(r"[^\W_]+")
 _ASCII_BREAKS = {c: " " for c in range(128) if not chr(c).isalnum()}
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
@@ -87,6 +88,7 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(band, text_key, s0, s1): the banded keys of each text with its sketch of 128 bits."""
     band_number = np.arange(BANDS, dtype=np.uint64)
     for batch in batches:
         batch = batch.drop_duplicates("text_key")
@@ -98,21 +100,76 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i in range(1, ROWS):
             band = band * _M1 + grouped[:, :, i]
         band = (_mix(band + band_number[None, :]) >> np.uint64(8)).astype(np.int64)
-        yield pd.DataFrame({"band": band.ravel(), "text_key": np.repeat(batch["text_key"].to_numpy(), BANDS)})
+        sketch = np.packbits((mins & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+        yield pd.DataFrame({"band": band.ravel(), "text_key": np.repeat(batch["text_key"].to_numpy(), BANDS), "s0": np.repeat(sketch[:, 0], BANDS), "s1": np.repeat(sketch[:, 1], BANDS)})
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _close(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs (a < b) of different texts among row numbers whose sketches pass the bit-sliced comparison; rows: text_key, s0, s1."""
+    different = rows[left, 0] != rows[right, 0]
+    left, right = left[different], right[different]
+    sketches = np.ascontiguousarray(rows[:, 1:]).view(np.uint8)
+    near = bitslice.within_radius(sketches[left], sketches[right], RADIUS)
+    a, b = rows[left[near], 0], rows[right[near], 0]
+    return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+
+
+def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; a row of a larger bucket goes out as (text_key, null, band, s0, s1)."""
+    held = np.empty((0, 4), dtype=np.int64)
+    large: int | None = None
+
+    def close(part: np.ndarray) -> pd.DataFrame:
+        pairs = []
+        step = 1
+        alive = np.arange(len(part))
+        while True:
+            alive = alive[alive + step < len(part)]
+            alive = alive[part[alive, 0] == part[alive + step, 0]]
+            if not len(alive):
+                break
+            pairs.append(_close(part[:, 1:], alive, alive + step))
+            step += 1
+        found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), dtype=np.int64)
+        return _frame(found[:, 0], found[:, 1])
+
+    def _frame(a, b, band=None, s0=None, s1=None) -> pd.DataFrame:  # noqa: ANN001
+        null = pd.array([None] * len(a), dtype="Int64")
+        return pd.DataFrame({"a": a, "b": null if b is None else b, "band": null if band is None else band, "s0": null if s0 is None else s0, "s1": null if s1 is None else s1})
+
+    def spill(part: np.ndarray) -> pd.DataFrame:
+        return _frame(part[:, 1], None, part[:, 0], part[:, 2], part[:, 3])
+
     for batch in batches:
-        if not len(batch):
+        held = np.concatenate([held, batch[["band", "text_key", "s0", "s1"]].to_numpy(dtype=np.int64)])
+        if not len(held):
             continue
-        sides = []
-        for column in ("runs_a", "runs_b"):
-            memo: dict[bytes, np.ndarray] = {}
-            for r in batch[column]:
-                if r not in memo:
-                    memo[r] = np.packbits((min_hashes(np.frombuffer(r, dtype=np.uint32)) & np.uint64(1)).astype(np.uint8))
-            sides.append(np.stack([memo[r] for r in batch[column]]))
-        batch = batch[bitslice.within_radius(sides[0], sides[1], RADIUS)]
+        if large is not None:
+            more = held[:, 0] == large
+            if more.any():
+                yield spill(held[more])
+            held = held[~more]
+            if not len(held):
+                continue
+            large = None
+        starts = np.flatnonzero(np.concatenate(([True], held[1:, 0] != held[:-1, 0])))
+        sizes = np.diff(np.append(starts, len(held)))
+        last = starts[-1]
+        big = np.repeat(sizes > BLOCK, sizes)
+        if big.any():
+            yield spill(held[big])
+            if big[-1]:
+                large = int(held[-1, 0])
+        done = ~big
+        done[last:] = False
+        yield close(held[done])
+        held = held[last:][~big[last:]]
+    if len(held):
+        yield close(held)
+
+
+def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
         keep = []
         for ra, rb in zip(batch["runs_a"], batch["runs_b"], strict=True):
             x, y = np.frombuffer(ra, dtype=np.uint32), np.frombuffer(rb, dtype=np.uint32)
@@ -121,35 +178,65 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
 
 
+def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of the members of two blocks of one bucket."""
+    for batch in batches:
+        n = len(batch)
+        rows = np.concatenate([batch[[f"{c}_x", f"{c}_y"]].to_numpy(dtype=np.int64).T.reshape(-1, 1) for c in ("k", "s0", "s1")], axis=1)
+        found = np.unique(_close(rows, np.arange(n), np.arange(n, 2 * n)), axis=0)
+        yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+
 def digests(bodies: DataFrame) -> DataFrame:
     """bodies(ordinal, title, body) to a written table (ordinal, text_key, runs)."""
     return cut(bodies.select("ordinal", "title", "body").mapInPandas(_digest, "ordinal long, text_key long, runs binary"), "runs")
 
 
+def _filter_bits(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A Bloom filter of fixed size (one hash) over a key column, or-ed from one bitmap of each task."""
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bitmap = np.zeros(bits // 8, dtype=np.uint8)
+        for batch in batches:
+            at = batch.iloc[:, 0].to_numpy(dtype=np.int64) % bits
+            np.bitwise_or.at(bitmap, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        yield pd.DataFrame({"bitmap": [bitmap.tobytes()]})
+
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for row in keys.coalesce(8).mapInPandas(fill, "bitmap binary").toLocalIterator():
+        out |= np.frombuffer(row[0], dtype=np.uint8)
+    return out
+
+
+def _passing(shared: object, bits: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = batch["text_key"].to_numpy(dtype=np.int64) % bits
+            yield batch[(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+
+    return run
+
+
 def links(digested: DataFrame) -> DataFrame:
     """(a, b): pairs of different texts, by text_key, that share at least half of their runs."""
-    banded = digested.where("text_key <> 0").select("text_key", "runs").mapInPandas(_bands, "band long, text_key long").repartition("band").distinct()
-    sizes = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = banded.join(sizes, "band")
-    few = members.where(F.col("size") <= BLOCK).groupBy("band").agg(F.sort_array(F.collect_list("text_key")).alias("t"))
-    later = F.expr("flatten(transform(t, (x, i) -> transform(slice(t, i + 2, size(t)), y -> struct(x as a, y as b))))")
-    near = few.select(F.explode(later).alias("p")).select("p.a", "p.b")
-    # a larger bucket is split into cells of block pairs, each a group of its own on some task
-    many = members.where(F.col("size") > BLOCK)
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("text_key"), blocks).cast("int")
-    cells = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(F.least(own, other).alias("x"), F.greatest(own, other).alias("y")))
-    placed = many.withColumn("_own", own).select("band", "text_key", "_own", F.explode(cells).alias("cell"))
-    left = placed.where("_own = cell.x").select("band", "cell", F.col("text_key").alias("a"))
-    right = placed.where("_own = cell.y").select("band", "cell", F.col("text_key").alias("b"))
-    far = left.join(right, ["band", "cell"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = near.unionByName(far).distinct()
-    pairs = cut(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("text_key")).unionByName(pairs.select(F.col("b").alias("text_key"))).distinct()
-    texts = digested.select("text_key", "runs").join(needed, "text_key", "left_semi").dropDuplicates(["text_key"])
-    texts = cut(texts, "texts")
-    first = pairs.join(texts.select(F.col("text_key").alias("a"), F.col("runs").alias("runs_a")), "a")
-    both = first.join(texts.select(F.col("text_key").alias("b"), F.col("runs").alias("runs_b")), "b")
+    texts = digested.where("text_key <> 0").select("text_key", "runs")
+    banded = texts.mapInPandas(_bands, "band long, text_key long, s0 long, s1 long").repartition("band").sortWithinPartitions("band")
+    near = cut(banded.mapInPandas(_buckets, "a long, b long, band long, s0 long, s1 long"), "near")
+    # a bucket beyond BLOCK texts is split into cells of block pairs, compared on different tasks
+    members = near.where("b is null").select("band", F.col("a").alias("k"), "s0", "s1").dropDuplicates(["band", "k"])
+    blocks = members.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = members.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(F.col("own"), other).alias("x"), F.greatest(F.col("own"), other).alias("y")))
+    placed = placed.select("band", "k", "s0", "s1", "own", F.explode(cells).alias("cell"))
+    left = placed.where("own = cell.x").select("band", "cell", *[F.col(c).alias(f"{c}_x") for c in ("k", "s0", "s1")])
+    right = placed.where("own = cell.y").select("band", "cell", *[F.col(c).alias(f"{c}_y") for c in ("k", "s0", "s1")])
+    far = left.join(right, ["band", "cell"]).where("k_x <> k_y").drop("band", "cell").mapInPandas(_cells, "a long, b long")
+    pairs = cut(near.where("b is not null").select("a", "b").unionByName(far).distinct(), "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("text_key"))
+    shared = digested.sparkSession.sparkContext.broadcast(_filter_bits(needed))
+    wanted = texts.mapInPandas(_passing(shared, FILTER_BITS), texts.schema).dropDuplicates(["text_key"])
+    first = pairs.join(wanted.select(F.col("text_key").alias("a"), F.col("runs").alias("runs_a")), "a")
+    both = first.join(wanted.select(F.col("text_key").alias("b"), F.col("runs").alias("runs_b")), "b")
     return both.select("a", "b", "runs_a", "runs_b").mapInPandas(_verify, "a long, b long")
 
 
