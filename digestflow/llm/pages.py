@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.llm import lines
-from digestflow.llm.base import bounded_keys
 from digestflow.session import cut
 
 IMPORTANCE = 0.85
@@ -48,6 +47,16 @@ _HAN = re.compile(r"[㐀-䶿一-鿿]")
 _DAY = re.compile(r"\b(?:mon|tue|wed|thu|fri|sat|sun)(?:s|nes|rs|ur)?(?:day)?\b|(?<=周)[一二三四五六日天]")
 
 
+def is_item(line: str) -> bool:
+    """A list item of the main body."""
+    return _ITEM.match(line) is not None
+
+
+def is_closing(line: str) -> bool:
+    """A closing line of the main body: tags, a link to the notes, a desk signature or a part number."""
+    return _CLOSING.search(line) is not None
+
+
 def _hash(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(parts)) - (1 << 63)
 
@@ -101,24 +110,25 @@ def _site(name: str | None) -> str:
     return re.sub(r"[\W_]+", " ", (name or "").lower()).strip()
 
 
-def _prepare(records: DataFrame, sources: DataFrame | None, frequent: DataFrame) -> DataFrame:
-    """Adds `_site` and `_hot`, the numbers of the lines repeated within the source."""
-    keys = bounded_keys(frequent.select("key"))
-    split = lines.split_lines(F.col("summary"))
-    if keys is None:
-        hot = lines.occurrences(records, frequent).groupBy(F.col("ordinal").alias("_o")).agg(F.collect_list(F.col("line_no").cast("int")).alias("_hot"))
-        out = records.join(hot, F.col("ordinal") == F.col("_o"), "left").drop("_o").withColumn("_hot", F.coalesce("_hot", F.expr("array()").cast("array<int>")))
-    else:
-        flagged = F.transform(split, lambda x, i: F.when(F.coalesce(lines.line_key(F.col("source"), x).isin(keys), F.lit(False)), i + 1))
-        out = records.withColumn("_hot", F.filter(flagged, lambda x: x.isNotNull()))
+_ASCII_OTHER = {c: None for c in range(128) if not chr(c).isalpha()}
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def _line_key(source: str | None, line: str) -> int | None:
+    """Identifier of a line within its source: the hash of its letters; None without letters."""
+    letters = line.translate(_ASCII_OTHER).lower() if line.isascii() else _NO_LETTERS.sub("", line.lower())
+    return _hash("line", source or "", letters) if letters else None
+
+
+def _prepare(records: DataFrame, sources: DataFrame | None) -> DataFrame:
     if sources is None:
-        return out.withColumn("_site", F.lit(""))
+        return records.withColumn("_site", F.lit(""))
     names = sources.select(F.col("source").alias("_s"), F.col("display_name").alias("_site")).dropDuplicates(["_s"])
-    return out.join(names, F.col("source") == F.col("_s"), "left").drop("_s")
+    return records.join(names, F.col("source") == F.col("_s"), "left").drop("_s")
 
 
-def _walk(summary: str | None, hot: set[int]) -> Iterator[tuple[int, str, str | None]]:
-    """(line number, line, next non-blank line) of the lines that are not blank and not repeated within the source."""
+def _walk(summary: str | None) -> Iterator[tuple[int, str, str | None]]:
+    """(line number, line, next non-blank line) of the lines that are not blank."""
     if not summary:
         return
     rows = summary.split("\n")
@@ -128,66 +138,78 @@ def _walk(summary: str | None, hot: set[int]) -> Iterator[tuple[int, str, str |
         following[i] = after
         after = rows[i] if rows[i].strip() else after
     for i, line in enumerate(rows):
-        if line.strip() and i + 1 not in hot:
+        if line.strip():
             yield i + 1, line, following[i]
 
 
 def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (style, feature, story, n): a content feature on the page of a story; a line (style `line`) of a source in n documents; a source (style `size`) of n documents."""
     for batch in batches:
         seen: set[tuple[str, int, int]] = set()
-        for title, summary, hot, site in zip(batch["title"], batch["summary"], batch["_hot"], batch["_site"], strict=True):
+        held: dict[tuple[str, int, int], int] = {}
+        for source, title, summary, site, counted in zip(batch["source"], batch["title"], batch["summary"], batch["_site"], batch["counted"], strict=True):
             story, site = None, _site(site)
-            for _, line, following in _walk(summary, set(hot)):
+            keys = set()
+            for _, line, following in _walk(summary):
+                keys.add(_line_key(source, line))
                 style, features = _features(line, following, site)
                 if features:
                     story = _story(title) if story is None else story
                     seen.update((style, _hash(style, f), story) for f in features)
-        yield pd.DataFrame(list(seen), columns=["style", "feature", "story"]).astype({"feature": "int64", "story": "int64"})
-
-
-def style_tree(prepared: DataFrame) -> DataFrame:
-    """(style, feature, pages, importance): the merged tree's leaves."""
-    spread = cut(prepared.select("title", "summary", "_hot", "_site").mapInPandas(_count_features, "style string, feature long, story long").distinct(), "features")
-    leaves = spread.groupBy("style", "feature").agg(F.count("*").alias("pages"))
-    styles = spread.select("style", "story").distinct().groupBy("style").agg(F.count("*").alias("all_pages"))
+            if counted:
+                host = _hash("source", source or "")
+                keys.discard(None)
+                for row in [("size", host, host), *(("line", k, host) for k in keys)]:
+                    held[row] = held.get(row, 0) + 1
+        rows = [(*k, 1) for k in seen] + [(*k, n) for k, n in held.items()]
+        yield pd.DataFrame(rows, columns=["style", "feature", "story", "n"]).astype({"feature": "int64", "story": "int64", "n": "int64"})
+
+
+def style_tree(prepared: DataFrame, min_rows: int = lines.MIN_ROWS, min_share: float = lines.MIN_SHARE) -> DataFrame:
+    """(style, feature, importance): the leaves of the merged tree; a line repeated within its source has importance 0."""
+    counted = prepared.select("source", "title", "summary", "_site", "counted").mapInPandas(_count_features, "style string, feature long, story long, n long")
+    spread = cut(counted.groupBy("style", "feature", "story").agg(F.sum("n").alias("n")), "features")
+    content = spread.where(~F.col("style").isin("line", "size"))
+    leaves = content.groupBy("style", "feature").agg(F.count("*").alias("pages"))
+    styles = content.select("style", "story").distinct().groupBy("style").agg(F.count("*").alias("all_pages"))
     importance = F.lit(1.0) - F.log("pages") / F.log(F.greatest(F.col("all_pages"), F.lit(2)))
-    return leaves.join(F.broadcast(styles), "style").select("style", "feature", "pages", importance.alias("importance"))  # at most ten styles
+    tree = leaves.join(F.broadcast(styles), "style").select("style", "feature", importance.alias("importance"))  # at most ten styles
+    sizes = spread.where("style = 'size'").select("story", F.col("n").alias("rows"))
+    repeated = spread.where((F.col("style") == "line") & (F.col("n") >= min_rows)).join(sizes, "story").where(F.col("n") >= F.lit(min_share) * F.col("rows"))
+    return tree.unionByName(repeated.select("style", "feature", F.lit(0.0).alias("importance")))
 
 
-def _is_noise(style: str, features: list[str], noise: np.ndarray | set, threshold: float) -> bool:
+def _is_noise(style: str, features: list[str], noise: frozenset) -> bool:
     if style in ("mark", "numbered", "heading"):
         return True
-    hashes = [_hash(style, f) for f in features]
-    hits = sum(h in noise for h in hashes)
-    return hits * 2 > len(hashes) or (hits * 2 == len(hashes) and hits > 0) if style in ("menu", "consent") else hits > 0
+    hits = sum(_hash(style, f) in noise for f in features)
+    return hits > 0 and hits * 2 >= len(features) if style in ("menu", "consent") else hits > 0
 
 
-def _mark(noise_of: object, threshold: float):
+def _mark(noise_of: object):
     """Function for mapInPandas adding `dropped` (line numbers) and `body` to each record."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shared = frozenset(noise_of.value.tolist()) if noise_of is not None else None
-        memo: dict[tuple, bool] = {}
         for batch in batches:
             own = [None] * len(batch) if shared is not None else batch["_noise"]
             dropped, bodies = [], []
-            for summary, hot, site, mine in zip(batch["summary"], batch["_hot"], batch["_site"], own, strict=True):
-                hot = set(int(x) for x in hot)
+            for source, summary, site, mine in zip(batch["source"], batch["summary"], batch["_site"], own, strict=True):
                 noise = shared if shared is not None else frozenset(mine)
                 bad = set()
                 site = _site(site)
-                for number, line, following in _walk(summary, hot):
+                for number, line, following in _walk(summary):
+                    if _line_key(source, line) in noise:
+                        bad.add(number)
+                        continue
                     style, features = _features(line, following, site)
-                    if features and _is_noise(style, features, noise, threshold):
+                    if features and _is_noise(style, features, noise):
                         bad.add(number)
-                rows = (summary or "").split("\n")
-                bad |= {n for n in hot if rows[n - 1].strip()}
                 dropped.append(sorted(bad))
-                bodies.append("\n".join(r for n, r in enumerate(rows, 1) if n not in bad))
-            out = batch.drop(columns=[c for c in ("_hot", "_site", "_noise") if c in batch])
+                bodies.append("\n".join(r for n, r in enumerate(summary.split("\n"), 1) if n not in bad) if bad else summary or "")
+            out = batch[["ordinal", "source", "title", "summary"]].copy()
             out["dropped"], out["body"] = dropped, bodies
             yield out
-        memo.clear()
 
     return run
 
@@ -195,29 +217,30 @@ def _mark(noise_of: object, threshold: float):
 def _own_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for ordinal, summary, hot, site in zip(batch["ordinal"], batch["summary"], batch["_hot"], batch["_site"], strict=True):
+        for ordinal, source, summary, site in zip(batch["ordinal"], batch["source"], batch["summary"], batch["_site"], strict=True):
             site = _site(site)
-            own = {_hash(style, f) for _, line, following in _walk(summary, set(hot)) for style, features in [_features(line, following, site)] for f in features}
+            own = {_line_key(source, line) for _, line, _ in _walk(summary)} - {None}
+            own |= {_hash(style, f) for _, line, following in _walk(summary) for style, features in [_features(line, following, site)] for f in features}
             out += [(ordinal, f) for f in own]
         yield pd.DataFrame(out, columns=["_o", "feature"]).astype({"_o": "int64", "feature": "int64"})
 
 
-def main_bodies(records: DataFrame, sources: DataFrame | None = None, repeated_of: DataFrame | None = None, importance: float = IMPORTANCE) -> DataFrame:
-    """records(ordinal, source, title, summary) with `dropped` ARRAY<INT> (numbers of the removed lines) and `body`.
+def main_bodies(records: DataFrame, sources: DataFrame | None = None, importance: float = IMPORTANCE, broadcast_limit: int = MAX_BROADCAST_FEATURES) -> DataFrame:
+    """records(ordinal, source, title, summary[, counted]) with `dropped` ARRAY<INT> (numbers of the removed lines) and `body`.
 
-    repeated_of: the records over which lines repeated within a source are counted; by default the records themselves.
+    counted: whether a record counts when lines repeated within a source are sought; true where the column is missing.
     """
-    records = records.select("ordinal", "source", "title", "summary")
-    prepared = _prepare(records, sources, lines.frequent_lines(records if repeated_of is None else repeated_of))
+    counted = F.col("counted") if "counted" in records.columns else F.lit(True)
+    prepared = _prepare(records.select("ordinal", "source", "title", "summary", counted.alias("counted")), sources)
     leaves = style_tree(prepared).where(F.col("importance") < importance).select("feature").distinct()
-    rows = leaves.limit(MAX_BROADCAST_FEATURES + 1).toPandas()["feature"].to_numpy(dtype="int64")
+    rows = leaves.limit(broadcast_limit + 1).toPandas()["feature"].to_numpy(dtype="int64")
     schema = "ordinal long, source string, title string, summary string, dropped array<int>, body string"
-    if len(rows) <= MAX_BROADCAST_FEATURES:
+    if len(rows) <= broadcast_limit:
         shared = records.sparkSession.sparkContext.broadcast(rows)
-        return prepared.mapInPandas(_mark(shared, importance), schema)
+        return prepared.mapInPandas(_mark(shared), schema)
     own = prepared.mapInPandas(_own_features, "_o long, feature long").join(leaves, "feature", "left_semi").groupBy("_o").agg(F.collect_list("feature").alias("_noise"))
     joined = prepared.join(own, F.col("ordinal") == F.col("_o"), "left").drop("_o").withColumn("_noise", F.coalesce("_noise", F.expr("array()").cast("array<bigint>")))
-    return joined.mapInPandas(_mark(None, importance), schema)
+    return joined.mapInPandas(_mark(None), schema)
 
 
 def removed_lines(records: DataFrame, sources: DataFrame | None = None) -> DataFrame:
