@@ -54,12 +54,11 @@ def closing_features(tail: str, near_limit: int) -> list[str]:
     bare = _TRAIL.sub("", line)
     kinds = [_kind(c) for c in line[-3:]]
     quotes = line.count("“") - line.count("”")
-    words = len(line.split())
     return [
         "bias", "last:" + "/".join(kinds[-1:]), "last2:" + "/".join(kinds[-2:]), "last3:" + "/".join(kinds),
         f"closed:{_CLOSED.search(line) is not None}", f"trail:{bare != line}", f"bare:{_CLOSED.search(bare) is not None}",
         f"item:{pages.is_item(line)}", f"closing:{pages.is_closing(line)}", f"quote:{min(max(quotes, -1), 1)}",
-        f"limit:{near_limit}", f"limit-closed:{near_limit == 0}:{_CLOSED.search(line) is not None}", f"words:{min(words, 8)}", f"long:{min(len(line) // 60, 4)}",
+        f"limit:{near_limit}", f"limit-closed:{near_limit == 0}:{_CLOSED.search(line) is not None}",
     ]
 
 
