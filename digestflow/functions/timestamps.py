@@ -103,3 +103,24 @@ def zone_minutes(zone: Column, source_zone: Column) -> Column:
 def wall_to_utc_micros(local: Column, zone: Column) -> Column:
     """UTC micros of a wall clock in an IANA zone: the earlier of two instants, and the offset before a skipped hour."""
     return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(local), zone))
+
+
+FEED_RFC = r"^([A-Za-z]{3}, )?[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2} ([+-][0-9]{4}|GMT|UTC)$"
+FEED_ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+
+
+def feed_micros(parts: Column, text: Column) -> Column:
+    """UTC micros of an RFC 2822 or ISO 8601 text, a bare wall clock being UTC; null for anything else. parts: timestamp_parts(text)."""
+    zone = F.coalesce(F.get(parts, F.lit(8)), F.lit(""))
+    wall = local_micros(parts, F.lit("dmy"))
+    shift = F.when(zone == "", F.lit(0)).otherwise(zone_minutes(zone, F.lit("")))
+    return F.when(text.rlike(FEED_RFC) | text.rlike(FEED_ISO), wall - shift * F.lit(60_000_000).cast("long"))
+
+
+def feed_micros_sql(text: str) -> str:
+    """The same in DuckDB SQL."""
+    zone = f"regexp_extract({text}, '([+-][0-9]{{2}}):?([0-9]{{2}})$', ['h', 'm'])"
+    minutes = f"CASE WHEN regexp_matches({text}, '[0-9]{{2}}:[0-9]{{2}}.*[+-][0-9]{{2}}:?[0-9]{{2}}$') THEN (CASE WHEN {zone}.h[1] = '-' THEN -1 ELSE 1 END) * (substr({zone}.h, 2, 2)::INT * 60 + {zone}.m::INT) ELSE 0 END"
+    rfc = f"try_strptime(regexp_replace(regexp_replace({text}, '^[A-Za-z]{{3}}, ', ''), ' ([+-][0-9]{{4}}|GMT|UTC)$', ''), '%d %b %Y %H:%M:%S')"
+    iso = f"TRY_CAST(regexp_replace({text}, '(:[0-9.]+)(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$', '\\1') AS TIMESTAMP)"
+    return f"(CASE WHEN regexp_matches({text}, '{FEED_RFC}') THEN epoch_us({rfc}) - ({minutes})::BIGINT * 60000000 WHEN regexp_matches({text}, '{FEED_ISO}') THEN epoch_us({iso}) - ({minutes})::BIGINT * 60000000 END)"

@@ -32,3 +32,42 @@ def canonical_url_sql(url: str) -> str:
     pairs = f"list_filter(string_split(regexp_extract({rest}, '\\?(.*)$', 1), '&'), p -> p <> '' AND NOT regexp_full_match(lower(split_part(p, '=', 1)), 'utm_.*|{'|'.join(TRACKING_KEYS)}'))"
     query = f"array_to_string(list_transform({pairs}, p -> CASE WHEN contains(p, '=') THEN p ELSE p || '=' END), '&')"
     return f"(CASE WHEN {url} IS NOT NULL THEN coalesce(nullif({scheme}, ''), 'https') || '://' || {host} || coalesce(nullif({path}, ''), '/') || CASE WHEN {query} = '' THEN '' ELSE '?' || {query} END END)"
+
+
+# Public suffixes of two labels.
+TWO_LABEL_SUFFIXES = (
+    "com.cn", "net.cn", "org.cn", "gov.cn", "edu.cn", "ac.cn", "co.uk", "org.uk", "ac.uk", "gov.uk", "me.uk", "net.uk", "co.jp", "or.jp",
+    "ne.jp", "ac.jp", "go.jp", "com.au", "net.au", "org.au", "edu.au", "gov.au", "co.kr", "or.kr", "com.hk", "org.hk", "com.tw", "org.tw",
+    "com.sg", "com.br", "com.mx", "co.in", "co.nz", "co.za",
+)
+
+
+def url_host(url: Column) -> Column:
+    """Host of a URL in lower case without `www.` and port; empty where there is none."""
+    return F.regexp_replace(F.lower(F.regexp_extract(F.trim(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#@:]*)", 1)), r"^www\.", "")
+
+
+def url_host_sql(url: str) -> str:
+    return f"regexp_replace(lower(regexp_extract(trim({url}), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#@:]*)', 1)), '^www\\.', '')"
+
+
+def registrable_domain(url: Column) -> Column:
+    """The domain under the public suffix; null without a host."""
+    labels = F.split(url_host(url), r"\.")
+    keep = F.when(F.array_join(F.slice(labels, -2, 2), ".").isin(*TWO_LABEL_SUFFIXES), 3).otherwise(2)
+    return F.when(url_host(url) != "", F.when(F.size(labels) <= keep, F.array_join(labels, ".")).when(keep == 3, F.array_join(F.slice(labels, -3, 3), ".")).otherwise(F.array_join(F.slice(labels, -2, 2), ".")))
+
+
+def registrable_domain_sql(url: str) -> str:
+    labels = f"string_split({url_host_sql(url)}, '.')"
+    suffixes = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
+    keep = f"CASE WHEN array_to_string({labels}[-2:], '.') IN ({suffixes}) THEN 3 ELSE 2 END"
+    return f"(CASE WHEN {url_host_sql(url)} <> '' THEN array_to_string({labels}[-({keep}):], '.') END)"
+
+
+def allowed_fetch(url: Column) -> Column:
+    """A URL that may be fetched: https, no credentials, a host that is neither local nor a private or reserved IPv4 address."""
+    text = F.trim(url)
+    host = url_host(url)
+    private = r"^(localhost|.*\.localhost|.*\.local|0\..*|10\..*|127\..*|169\.254\..*|192\.168\..*|172\.(1[6-9]|2\d|3[01])\..*|100\.(6[4-9]|[7-9]\d|1[01]\d|12[0-7])\..*|22[4-9]\..*|2[3-5]\d\..*)$"
+    return F.coalesce(F.lower(text).startswith("https://") & ~text.rlike(r"^[^/]*//[^/?#]*@") & (host != "") & ~host.rlike(private), F.lit(False))
