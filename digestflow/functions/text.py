@@ -42,9 +42,9 @@ def title_tokens(text: Column) -> Column:
 
 def title_tokens_sql(text: str) -> str:
     stop = ", ".join(f"'{s}'" for s in STOPWORDS)
-    runs = f"list_filter(regexp_extract_all({text}, '{_HAN_RUN}'), r -> r NOT IN ({stop}))"
-    bigrams = f"flatten(list_transform({runs}, r -> list_transform(range(1, length(r)), i -> substr(r, i, 2))))"
-    return f"list_filter(list_distinct(list_concat(regexp_extract_all(lower({text}), '{_LATIN}'), {bigrams})), k -> k NOT IN ({stop}))"
+    runs = f"list_filter(regexp_extract_all({text}, '{_HAN_RUN}'), lambda r: r NOT IN ({stop}))"
+    bigrams = f"flatten(list_transform({runs}, lambda r: list_transform(range(1, length(r)), lambda i: substr(r, i, 2))))"
+    return f"list_filter(list_distinct(list_concat(regexp_extract_all(lower({text}), '{_LATIN}'), {bigrams})), lambda k: k NOT IN ({stop}))"
 
 
 def product_ids(text: Column) -> Column:
@@ -53,7 +53,7 @@ def product_ids(text: Column) -> Column:
 
 
 def product_ids_sql(text: str) -> str:
-    return f"list_sort(list_distinct(list_filter(regexp_extract_all(lower({text}), '{_LATIN}'), k -> regexp_matches(k, '[a-z]') AND regexp_matches(k, '[0-9]'))))"
+    return f"list_sort(list_distinct(list_filter(regexp_extract_all(lower({text}), '{_LATIN}'), lambda k: regexp_matches(k, '[a-z]') AND regexp_matches(k, '[0-9]'))))"
 
 
 def story_ids(text: Column) -> Column:

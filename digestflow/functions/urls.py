@@ -29,8 +29,8 @@ def canonical_url_sql(url: str) -> str:
     rest = f"CASE WHEN regexp_matches({bare}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN substr({bare}, strpos({bare}, ':') + 1) ELSE {bare} END"
     host = f"regexp_replace(lower(regexp_extract({rest}, '^//(?:[^/?]*@)?([^/?@]*)', 1)), '^www\\.', '')"
     path = f"regexp_replace(regexp_replace(regexp_extract({rest}, '^(?://[^/?]*)?([^?]*)', 1), '/{{2,}}', '/', 'g'), '([^/])/$', '\\1')"
-    pairs = f"list_filter(string_split(regexp_extract({rest}, '\\?(.*)$', 1), '&'), p -> p <> '' AND NOT regexp_full_match(lower(split_part(p, '=', 1)), 'utm_.*|{'|'.join(TRACKING_KEYS)}'))"
-    query = f"array_to_string(list_transform({pairs}, p -> CASE WHEN contains(p, '=') THEN p ELSE p || '=' END), '&')"
+    pairs = f"list_filter(string_split(regexp_extract({rest}, '\\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_full_match(lower(split_part(p, '=', 1)), 'utm_.*|{'|'.join(TRACKING_KEYS)}'))"
+    query = f"array_to_string(list_transform({pairs}, lambda p: CASE WHEN contains(p, '=') THEN p ELSE p || '=' END), '&')"
     return f"(CASE WHEN {url} IS NOT NULL THEN coalesce(nullif({scheme}, ''), 'https') || '://' || {host} || coalesce(nullif({path}, ''), '/') || CASE WHEN {query} = '' THEN '' ELSE '?' || {query} END END)"
 
 
