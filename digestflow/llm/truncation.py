@@ -5,7 +5,7 @@ and the text's length against the lengths its source piles up at. A bounded samp
 random place, now and then with an ellipsis or a broken character behind, and serves as a positive. The model then scores every
 record. An exact check follows: list items, closing lines (tags, link, desk signature, part number) and texts that end a sentence are complete.
 
-Null, empty and blank texts are no case. The sample (SAMPLE rows in the order of a hash of their key) only fits the model; lengths
+Null, empty and blank texts and rows without ordinal are no case. The sample (SAMPLE rows in the order of a hash of their key) only fits the model; lengths
 are counted over all rows, and every row is scored.
 """
 
@@ -66,13 +66,6 @@ def _slots(features: list[str]) -> list[int]:
     return [xxhash.xxh32_intdigest(f) % WIDTH for f in features]
 
 
-def _matrix(rows: list[list[str]]) -> np.ndarray:
-    out = np.zeros((len(rows), WIDTH), dtype=np.float32)
-    for i, features in enumerate(rows):
-        out[i, _slots(features)] = 1.0
-    return out
-
-
 def fit(tails: list[str], near: list[int], seed: int = 11, steps: int = 250) -> np.ndarray:
     """Weights of the logistic regression from intact values and their artificial cuts."""
     rng = np.random.default_rng(seed)
@@ -94,11 +87,20 @@ def fit(tails: list[str], near: list[int], seed: int = 11, steps: int = 250) ->
     weights = np.zeros(WIDTH, dtype=np.float64)
     if not rows:
         return weights
-    x, y = _matrix(rows), np.array(labels)
+    # equal rows are fitted once, by their number and share of positives
+    tally: dict[tuple[int, ...], list[float]] = {}
+    for features, label in zip(rows, labels, strict=True):
+        entry = tally.setdefault(tuple(sorted(set(_slots(features)))), [0.0, 0.0])
+        entry[0] += 1.0
+        entry[1] += label
+    x = np.zeros((len(tally), WIDTH))
+    for i, slots in enumerate(tally):
+        x[i, list(slots)] = 1.0
+    n, positive = np.array(list(tally.values())).T
     speed = np.zeros(WIDTH)
     for _ in range(steps):
         p = 1.0 / (1.0 + np.exp(-(x @ weights)))
-        g = x.T @ (p - y) / len(y) + 1e-5 * weights
+        g = x.T @ (n * p - positive) / n.sum() + 1e-5 * weights
         speed += g * g
         weights -= 0.8 * g / np.sqrt(speed + 1e-10)
     return weights
@@ -106,8 +108,8 @@ def fit(tails: list[str], near: list[int], seed: int = 11, steps: int = 250) ->
 
 def closings(texts: DataFrame) -> DataFrame:
     """texts(rec_table, ordinal, source, text) to (rec_table, ordinal, source, tail, near_limit) of the texts that are not blank."""
-    last = F.regexp_extract(F.regexp_replace("text", r"\s+\z", ""), r"([^\n]*)\z", 1)
-    told = texts.where(F.col("text").rlike(r"\S")).select("rec_table", "ordinal", "source", F.substring(last, -TAIL, TAIL).alias("tail"), F.length("text").alias("size"))
+    last = F.try_element_at(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"\S")), F.lit(-1))
+    told = texts.where(F.col("text").rlike(r"\S") & F.col("ordinal").isNotNull()).select("rec_table", "ordinal", "source", F.substring(last, -TAIL, TAIL).alias("tail"), F.length("text").alias("size"))
     told = cut(told, "tails")
     # lengths a source piles up at: many more texts than in the neighbourhood
     counts = told.groupBy("rec_table", "source", "size").agg(F.count("*").alias("n"))
@@ -131,8 +133,11 @@ def _score(weights: object):
 
 def score(texts: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(rec_table, ordinal, source, probability, truncated) of every text that is not blank."""
-    told = cut(closings(texts), "closings")
-    chosen = told.orderBy(F.xxhash64("rec_table", "ordinal"), "rec_table", "ordinal").limit(sample).select("tail", "near_limit").toPandas()
+    told = closings(texts)
+    key = F.xxhash64("rec_table", "ordinal")
+    # a hash threshold leaves little more than the sample, so that the order is settled over few rows
+    share = min(1.0, 1.5 * sample / max(1, told.count()))
+    chosen = told.where(F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(key, "rec_table", "ordinal").limit(sample).select("tail", "near_limit").toPandas()
     weights = told.sparkSession.sparkContext.broadcast(fit(list(chosen["tail"]), list(chosen["near_limit"])))
     return told.mapInPandas(_score(weights), "rec_table string, ordinal long, source string, probability double, truncated boolean")
 
