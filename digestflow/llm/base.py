@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +31,13 @@ def bounded_keys(keys: DataFrame, limit: int = MAX_LITERAL_KEYS) -> list | None:
 def skeleton(line: Column) -> Column:
     """The letters of a line in lower case: lines with the same letters are the same line."""
     return F.lower(F.regexp_replace(line, r"[^\p{L}]+", ""))
+
+
+def skip_empty(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A batch function that yields no frames without rows: those have no column types."""
+
+    @wraps(run)
+    def only_full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (frame for frame in run(batches) if len(frame))
+
+    return only_full

@@ -8,7 +8,8 @@ numbers, versions and product names may not differ. Titles first meet by half (t
 halves with several titles are opened slot by slot. Components of the graph of pages and titles then decide which rows are known:
 those connected to history or to a row of an earlier batch.
 
-Null or blank URLs and titles match nothing. Rows of the same batch do not make each other known.
+Null or blank URLs and titles match nothing; rows without ordinal or time of discovery are left out. Rows of the same batch do not
+make each other known.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.functions.urls import canonical_url
-from digestflow.llm.base import bounded_keys
+from digestflow.llm.base import bounded_keys, skip_empty
 from digestflow.operators.components import connected_components
 from digestflow.session import cut
 
@@ -64,11 +65,12 @@ def _normalise(site: re.Pattern[str] | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             units = [title_units(t, site) for t in batch["title"]]
-            yield pd.DataFrame({"ordinal": batch["ordinal"], "day": batch["day"], "url_node": batch["url_node"], "title_node": pd.array([_h("t", "".join(u)) if u else None for u in units], dtype="Int64"), "units": [" ".join(u) for u in units], "plain": batch["title"]})
+            yield pd.DataFrame({"ordinal": batch["ordinal"], "day": batch["day"], "url_node": batch["url_node"], "title_node": pd.array([_h("t", "".join(u)) if u else None for u in units], dtype="Int64"), "units": [" ".join(u) for u in units], "plain": batch["title"].astype(object)})
 
     return run
 
 
+@skip_empty
 def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Two keys for each title: what is left of it when the slot lies in its last or first half."""
     for batch in batches:
@@ -86,6 +88,7 @@ def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["half", "title_node"]).astype("int64").drop_duplicates()
 
 
+@skip_empty
 def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(slot, word, title_node): a title with one word, or one Chinese term, left open."""
     for batch in batches:
@@ -107,6 +110,7 @@ def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["slot", "word", "title_node"]).astype({"slot": "int64", "title_node": "int64"})
 
 
+@skip_empty
 def _slips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keys under which the words of a slot meet: one for ordinary words, and the one-letter deletions of words without digits."""
     for batch in batches:
@@ -119,6 +123,7 @@ def _slips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["key", "title_node"]).astype("int64")
 
 
+@skip_empty
 def _word_uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """How often each word stands alone in lower case, and how often at all, in titles of mixed case."""
     for batch in batches:
@@ -157,10 +162,10 @@ def known_rows(items: DataFrame, history_urls: DataFrame, history_titles: DataFr
     def node(url):  # noqa: ANN001, ANN202
         return F.when(F.trim(url) != "", F.xxhash64(F.lit("u"), canonical_url(url)))
 
-    rows = items.select("ordinal", F.datediff(F.col("discovered_at").cast("date"), F.lit("1970-01-01").cast("date")).cast("long").alias("day"), node(F.col("url")).alias("url_node"), "title")
-    past = history_titles.select(F.lit(-1).cast("long").alias("ordinal"), F.lit(-1).cast("long").alias("day"), F.lit(None).cast("long").alias("url_node"), "title")
+    rows = items.where("ordinal is not null and discovered_at is not null").select("ordinal", F.datediff(F.col("discovered_at").cast("date"), F.lit("1970-01-01").cast("date")).cast("long").alias("day"), F.coalesce(node(F.col("url")), F.lit(0)).alias("url_node"), "title")
+    past = history_titles.select(F.lit(-1).cast("long").alias("ordinal"), F.lit(-1).cast("long").alias("day"), F.lit(0).cast("long").alias("url_node"), "title")
     pattern = site_pattern(site_names)
-    both = cut(rows.unionByName(past).mapInPandas(_normalise(pattern), "ordinal long, day long, url_node long, title_node long, units string, plain string"), "titles")
+    both = cut(rows.unionByName(past).mapInPandas(_normalise(pattern), "ordinal long, day long, url_node long, title_node long, units string, plain string").withColumn("url_node", F.nullif("url_node", F.lit(0).cast("long"))), "titles")
     titles = both.where("title_node is not null").groupBy("title_node").agg(F.min("units").alias("units"), F.min("plain").alias("plain"))
     linked = cut(title_links(titles), "links")
     urls_past = history_urls.select(node(F.col("url")).alias("node"), F.lit(-1).cast("long").alias("day")).where("node is not null")

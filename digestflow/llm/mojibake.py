@@ -6,7 +6,7 @@ the given characters under the character frequencies of the whole corpus. Each s
 every chain and for clean text: the E-step gives each passage's posterior over chains, the M-step averages posteriors within the source, so
 weak evidence of single passages is pooled. Passages are repaired by the chain of greatest posterior, again until nothing is gained.
 
-Replacement characters are evidence of a chain that lost its bytes: found, not restorable. Null, empty and ASCII texts are no case.
+Replacement characters are evidence of a chain that lost its bytes: found, not restorable. Null, empty and ASCII texts and rows without doc_id are no case.
 Correct accents, symbols and other scripts lose likelihood under every chain and stay.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from digestflow.llm.base import skip_empty
 from digestflow.session import cut
 
 # Fixed values: (decoder wrongly used, right decoder).
@@ -126,6 +127,7 @@ def apply_chain(passage: str, chain: int, whole: bool, evidence: Evidence) -> st
     return _RUN.sub(run, passage)
 
 
+@skip_empty
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         counts: dict[str, int] = {}
@@ -144,6 +146,7 @@ def character_counts(documents: DataFrame) -> dict[str, int]:
 
 
 def _gather(shared: object):
+    @skip_empty
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         evidence = Evidence(shared.value)
         for batch in batches:
@@ -162,7 +165,7 @@ def _gather(shared: object):
 def posteriors(documents: DataFrame, counts: dict[str, int], rounds: int = 4) -> DataFrame:
     """(doc_id, source, passage, chain, whole, posterior) of every passage and chain with evidence, after EM over the sources."""
     shared = documents.sparkSession.sparkContext.broadcast(counts)  # bounded by the code points of Unicode
-    weighed = cut(documents.select("doc_id", "source", "text").mapInPandas(_gather(shared), "doc_id long, source string, passage int, chain int, ratio double, whole boolean"), "evidence")
+    weighed = cut(documents.where("doc_id is not null").select("doc_id", "source", "text").mapInPandas(_gather(shared), "doc_id long, source string, passage int, chain int, ratio double, whole boolean"), "evidence")
     sizes = documents.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.count("*").alias("texts"))
     passage = W.partitionBy("doc_id", "passage")
 

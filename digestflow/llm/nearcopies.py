@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.llm import bitslice
+from digestflow.llm.base import skip_empty
 from digestflow.operators.components import connected_components
 from digestflow.session import cut
 
@@ -75,9 +76,12 @@ def runs(text: str, words: dict[str, int], width: int = 3) -> tuple[int, np.ndar
 
 def min_hashes(run_hashes: np.ndarray) -> np.ndarray:
     """SKETCH_BITS min-hashes of a set of run hashes."""
-    x = _mix(run_hashes.astype(np.uint64) + _M2)[None, :] * _A
-    x ^= x >> np.uint64(32)
-    return _mix((x * _M1).min(axis=1))
+    least = np.full(SKETCH_BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for start in range(0, len(run_hashes), 8192):
+        x = _mix(run_hashes[start : start + 8192].astype(np.uint64) + _M2)[None, :] * _A
+        x ^= x >> np.uint64(32)
+        least = np.minimum(least, (x * _M1).min(axis=1))
+    return _mix(least)
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,6 +91,7 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"ordinal": batch["ordinal"], "text_key": [k for k, _ in out], "runs": [r.tobytes() for _, r in out]})
 
 
+@skip_empty
 def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(band, text_key, s0, s1): the banded keys of each text with its sketch of 128 bits."""
     band_number = np.arange(BANDS, dtype=np.uint64)
@@ -114,6 +119,7 @@ def _close(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
+@skip_empty
 def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; a row of a larger bucket goes out as (text_key, null, band, s0, s1)."""
     held = np.empty((0, 4), dtype=np.int64)
@@ -168,6 +174,7 @@ def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield close(held)
 
 
+@skip_empty
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keep = []
@@ -178,6 +185,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
 
 
+@skip_empty
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of the members of two blocks of one bucket."""
     for batch in batches:

@@ -20,10 +20,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.llm import lines
+from digestflow.llm.base import skip_empty
 from digestflow.session import cut
 
 IMPORTANCE = 0.85
@@ -123,7 +124,7 @@ def _line_key(source: str | None, line: str) -> int | None:
 def _prepare(records: DataFrame, sources: DataFrame | None) -> DataFrame:
     if sources is None:
         return records.withColumn("_site", F.lit(""))
-    names = sources.select(F.col("source").alias("_s"), F.col("display_name").alias("_site")).dropDuplicates(["_s"])
+    names = sources.select(F.col("source").alias("_s"), F.col("display_name").alias("_site")).where("_s is not null").dropDuplicates(["_s"])
     return records.join(names, F.col("source") == F.col("_s"), "left").drop("_s")
 
 
@@ -142,6 +143,7 @@ def _walk(summary: str | None) -> Iterator[tuple[int, str, str | None]]:
             yield i + 1, line, following[i]
 
 
+@skip_empty
 def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (style, feature, story, n): a content feature on the page of a story; a line (style `line`) of a source in n documents; a source (style `size`) of n documents."""
     for batch in batches:
@@ -207,13 +209,14 @@ def _mark(noise_of: object):
                         bad.add(number)
                 dropped.append(sorted(bad))
                 bodies.append("\n".join(r for n, r in enumerate(summary.split("\n"), 1) if n not in bad) if bad else summary or "")
-            out = batch[["ordinal", "source", "title", "summary"]].copy()
+            out = batch[["ordinal", "source", "title", "summary"]].astype(object)
             out["dropped"], out["body"] = dropped, bodies
             yield out
 
     return run
 
 
+@skip_empty
 def _own_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
@@ -225,13 +228,13 @@ def _own_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["_o", "feature"]).astype({"_o": "int64", "feature": "int64"})
 
 
-def main_bodies(records: DataFrame, sources: DataFrame | None = None, importance: float = IMPORTANCE, broadcast_limit: int = MAX_BROADCAST_FEATURES) -> DataFrame:
-    """records(ordinal, source, title, summary[, counted]) with `dropped` ARRAY<INT> (numbers of the removed lines) and `body`.
+def main_bodies(records: DataFrame, sources: DataFrame | None = None, counted: Column | None = None, importance: float = IMPORTANCE, broadcast_limit: int = MAX_BROADCAST_FEATURES) -> DataFrame:
+    """records(ordinal, source, title, summary) with `dropped` ARRAY<INT> (numbers of the removed lines) and `body`.
 
-    counted: whether a record counts when lines repeated within a source are sought; true where the column is missing.
+    counted: whether a record counts when lines repeated within a source are sought; all do by default. Records without ordinal give no row.
     """
-    counted = F.col("counted") if "counted" in records.columns else F.lit(True)
-    prepared = _prepare(records.select("ordinal", "source", "title", "summary", counted.alias("counted")), sources)
+    told = records.where("ordinal is not null").select("ordinal", "source", "title", "summary", (F.lit(True) if counted is None else counted).alias("counted"))
+    prepared = _prepare(told, sources)
     leaves = style_tree(prepared).where(F.col("importance") < importance).select("feature").distinct()
     rows = leaves.limit(broadcast_limit + 1).toPandas()["feature"].to_numpy(dtype="int64")
     schema = "ordinal long, source string, title string, summary string, dropped array<int>, body string"

@@ -1,8 +1,8 @@
 """Texts cut off by field limits: hashed logistic regression trained on artificially cut values.
 
 The closing line of each main body (of each quote) is described by its last characters, its punctuation, open quotes, its kind of line
-and the text's length against the lengths its source piles up at. A bounded sample of values is taken as intact; each is also cut at a
-random place, now and then with an ellipsis or a broken character behind, and serves as a positive. The model then scores every
+and the text's length against the lengths its source piles up at. In a bounded sample the values that end a sentence, an item or a closing line are
+taken as intact; each is also cut at a random place, now and then with an ellipsis or a broken character behind, and serves as a positive. The model then scores every
 record. An exact check follows: list items, closing lines (tags, link, desk signature, part number) and texts that end a sentence are complete.
 
 Null, empty and blank texts and rows without ordinal are no case. The sample (SAMPLE rows in the order of a hash of their key) only fits the model; lengths
@@ -72,8 +72,8 @@ def fit(tails: list[str], near: list[int], seed: int = 11, steps: int = 250) ->
     rows, labels = [], []
     for tail, limit in zip(tails, near, strict=True):
         line = tail.rstrip()
-        if not line:
-            continue
+        if not (_CLOSED.search(line) or pages.is_item(line) or pages.is_closing(line)):
+            continue  # not surely intact
         rows.append(closing_features(line, limit))
         labels.append(0.0)
         if len(line) < 12 or pages.is_item(line) or pages.is_closing(line):
@@ -126,7 +126,7 @@ def _score(weights: object):
             margin = [float(w[_slots(closing_features(t, n))].sum()) for t, n in zip(batch["tail"], batch["near_limit"], strict=True)]
             exact = [not (pages.is_item(t) or pages.is_closing(t) or _CLOSED.search(t.rstrip()) is not None and not _TRAIL.search(t)) for t in batch["tail"]]
             probability = 1.0 / (1.0 + np.exp(-np.array(margin)))
-            yield pd.DataFrame({"rec_table": batch["rec_table"], "ordinal": batch["ordinal"], "source": batch["source"], "probability": probability, "truncated": (probability > 0.5) & np.array(exact, dtype=bool)})
+            yield pd.DataFrame({"rec_table": batch["rec_table"].astype(object), "ordinal": batch["ordinal"], "source": batch["source"].astype(object), "probability": probability, "truncated": (probability > 0.5) & np.array(exact, dtype=bool)})
 
     return run
 
