@@ -45,6 +45,7 @@ _SEPARATORS = re.compile(r"\s*[|·>/»•]\s*|\s{2,}|\s*　\s*")
 _WORDS = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 _NAME = re.compile(r"[A-Z][^\W\d_]{4,}")
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
 _DAY = re.compile(r"\b(?:mon|tue|wed|thu|fri|sat|sun)(?:s|nes|rs|ur)?(?:day)?\b|(?<=周)[一二三四五六日天]")
 
 
@@ -84,7 +85,7 @@ def _features(line: str, following: str | None, site: str) -> tuple[str, list[st
         if following is not None and _NUMBERED.match(following):
             return "heading", ["9."]
         if _CONSENT.search(line) and len(line) < 160:
-            return "consent", [w.lower() for w in _WORDS.findall(line)] if not _HAN.search(line) else [line.strip()[-2:], *_CONSENT.findall(line)]
+            return "consent", [_SENTENCE_END.split(line.strip().lower())[-1]]
         label = _LABEL.match(line)
         if label:
             return "label", [re.sub(r"\d+", "9", label[1].lower())]
@@ -104,7 +105,7 @@ def _features(line: str, following: str | None, site: str) -> tuple[str, list[st
         return "text", [text] if len(text) > 18 else [text, f"{text[:2]}*{text[-6:]}"]
     if not 1 < len(words) <= 10:
         return "text", [text]
-    return "text", [text, *(" ".join([*words[:i], "*", *words[i + 1 :]]) for i in range(len(words)) if len(words) > 4)]
+    return "text", [text, *(" ".join([*words[:i], "*", *words[i + 1 :]]) for i in range(len(words) - 1) if len(words) > 4)]
 
 
 def _site(name: str | None) -> str:
@@ -185,7 +186,7 @@ def _is_noise(style: str, features: list[str], noise: frozenset) -> bool:
     if style in ("mark", "numbered", "heading"):
         return True
     hits = sum(_hash(style, f) in noise for f in features)
-    return hits > 0 and hits * 2 >= len(features) if style in ("menu", "consent") else hits > 0
+    return hits > 0 and hits * 2 >= len(features) if style == "menu" else hits > 0
 
 
 def _mark(noise_of: object):
