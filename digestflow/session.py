@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+BATCH_ROWS = 2_000
 
 
 def build_session(app: str = "digestflow", master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -73,8 +74,13 @@ def discard(df: DataFrame) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application, so their Python workers can import it."""
+    """Send this package to the executors, once for each application, so their Python workers can import it.
+
+    Arrow batches of default size are made smaller: rows hold whole texts, and several Python workers share an executor.
+    """
     context = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId not in _SHIPPED:
         root = Path(__file__).resolve().parent
         target = Path(tempfile.mkdtemp(prefix="digestflow-package-")) / "digestflow_package.zip"
