@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from digestflow.functions import text, urls
 from digestflow.functions import timestamps as ts
-from digestflow.operators import evidence, items, linkage, ranking, timestamps
+from digestflow.operators import evidence, items, linkage, ranking, series, timestamps
+from digestflow.plans import digest
 from digestflow.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,3 +287,54 @@ def link_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def richer_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = table(spark, sf_dir, "raw_items").select("ordinal", "summary", urls.canonical_url(F.col("url")).alias("page"))
     return evidence.richer_copies(keyed)
+
+
+@register(
+    "event_windows",
+    "SELECT epoch_us(date_trunc('hour', ts)) AS start_us, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
+)
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.windows(table(spark, sf_dir, "events"))
+
+
+@register(
+    "event_sessions",
+    """WITH g AS (SELECT user_id, epoch_us(ts) AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w >= 1800000000 THEN 1 ELSE 0 END AS cut FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+      s AS (SELECT user_id, t, sum(cut) OVER (PARTITION BY user_id ORDER BY t RANGE UNBOUNDED PRECEDING) AS k FROM g)
+      SELECT user_id, min(t) AS start_us, max(t) + 1800000000 AS end_us, count(*) AS n FROM s GROUP BY user_id, k""",
+)
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.sessions(table(spark, sf_dir, "events"))
+
+
+@register(
+    "running_totals",
+    """WITH d AS (SELECT ts::DATE AS day, event_type, count(*) AS n, sum(value::DECIMAL(28, 6)) AS total FROM events GROUP BY 1, 2)
+      SELECT day, event_type, n, round(total::DOUBLE, 4) AS total, round((sum(total) OVER (PARTITION BY event_type ORDER BY day))::DOUBLE, 4) AS total_so_far FROM d""",
+)
+def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.running_totals(table(spark, sf_dir, "events"))
+
+
+@register("metric_totals", f"SELECT source, m.key AS metric, count(x) AS n, round(sum(x), 4) AS total FROM (SELECT source, m, {text.numeric_sql('m.value')} AS x FROM (SELECT source, unnest(map_entries(metrics)) AS m FROM raw_items)) GROUP BY 1, 2")
+def metric_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.metric_totals(table(spark, sf_dir, "raw_items"), text.numeric(F.col("v")))
+
+
+@register(
+    "best_links",
+    "SELECT target_date, event_id, ordinal, pos, url FROM (SELECT *, row_number() OVER (PARTITION BY target_date, event_id ORDER BY pos, ordinal) AS r FROM source_refs) WHERE r = 1",
+)
+def best_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = table(spark, sf_dir, "source_refs").select("target_date", "event_id", "ordinal", "pos", "url")
+    return series.best_rows(refs, ["target_date", "event_id"], F.col("pos"), "ordinal")
+
+
+@register("newest_days", "SELECT target_date, count(DISTINCT event_id) AS stories FROM source_refs GROUP BY 1 ORDER BY 1 DESC LIMIT 30")
+def newest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "source_refs").groupBy("target_date").agg(F.count_distinct("event_id").alias("stories")).orderBy(F.col("target_date").desc()).limit(30)
+
+
+@register("daily_digest")
+def daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.daily_digest(table(spark, sf_dir, "raw_items"), table(spark, sf_dir, "history_urls"), table(spark, sf_dir, "history_titles"))
