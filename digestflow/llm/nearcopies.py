@@ -60,7 +60,7 @@ def runs(text: str, words: dict[str, int], width: int = 3) -> tuple[int, np.ndar
             h = words.get(w)
             if h is None:
                 h = xxhash.xxh64_intdigest(w)
-                if len(words) < 200_000:
+                if len(words) < 50_000:
                     words[w] = h
             ids.append(h)
         units = np.array(ids, dtype=np.uint64)

@@ -119,10 +119,22 @@ class WordEncoder:
         return [[i for w in words for i in known[w]] for words in split]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 10_000, size: int = 64 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches joined to about `rows` rows, or fewer of long texts: each costs one recursive query."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _encode(path: str, pattern: str, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path, pattern)
-        for batch in batches:
+        for batch in _gathered(batches):
             ids = encoder.encode(batch.column("text").to_pylist())
             sizes = [len(x) for x in ids]
             if keep_ids:
