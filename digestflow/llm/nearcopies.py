@@ -119,14 +119,29 @@ def _close(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
+NONE = -1
+
+
+def _joined(batches: Iterator[pd.DataFrame], rows: int = 200_000) -> Iterator[np.ndarray]:
+    """The batches as (band, text_key, s0, s1) arrays of about `rows` rows."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        held.append(batch[["band", "text_key", "s0", "s1"]].to_numpy(dtype=np.int64))
+        if sum(map(len, held)) >= rows:
+            yield np.concatenate(held)
+            held = []
+    if held:
+        yield np.concatenate(held)
+
+
 @skip_empty
 def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; a row of a larger bucket goes out as (text_key, null, band, s0, s1)."""
+    """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; a row of a larger bucket goes out as (text_key, NONE, band, s0, s1)."""
     held = np.empty((0, 4), dtype=np.int64)
     large: int | None = None
 
     def close(part: np.ndarray) -> pd.DataFrame:
-        pairs = []
+        pairs = [np.empty((0, 2), dtype=np.int64)]
         step = 1
         alive = np.arange(len(part))
         while True:
@@ -136,18 +151,14 @@ def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 break
             pairs.append(_close(part[:, 1:], alive, alive + step))
             step += 1
-        found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), dtype=np.int64)
-        return _frame(found[:, 0], found[:, 1])
-
-    def _frame(a, b, band=None, s0=None, s1=None) -> pd.DataFrame:  # noqa: ANN001
-        null = pd.array([None] * len(a), dtype="Int64")
-        return pd.DataFrame({"a": a, "b": null if b is None else b, "band": null if band is None else band, "s0": null if s0 is None else s0, "s1": null if s1 is None else s1})
+        found = np.unique(np.concatenate(pairs), axis=0)
+        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1], "band": 0, "s0": 0, "s1": 0})
 
     def spill(part: np.ndarray) -> pd.DataFrame:
-        return _frame(part[:, 1], None, part[:, 0], part[:, 2], part[:, 3])
+        return pd.DataFrame({"a": part[:, 1], "b": NONE, "band": part[:, 0], "s0": part[:, 2], "s1": part[:, 3]})
 
-    for batch in batches:
-        held = np.concatenate([held, batch[["band", "text_key", "s0", "s1"]].to_numpy(dtype=np.int64)])
+    for rows in _joined(batches):
+        held = np.concatenate([held, rows])
         if not len(held):
             continue
         if large is not None:
@@ -231,7 +242,7 @@ def links(digested: DataFrame) -> DataFrame:
     banded = texts.mapInPandas(_bands, "band long, text_key long, s0 long, s1 long").repartition("band").sortWithinPartitions("band")
     near = cut(banded.mapInPandas(_buckets, "a long, b long, band long, s0 long, s1 long"), "near")
     # a bucket beyond BLOCK texts is split into cells of block pairs, compared on different tasks
-    members = near.where("b is null").select("band", F.col("a").alias("k"), "s0", "s1").dropDuplicates(["band", "k"])
+    members = near.where(F.col("b") == NONE).select("band", F.col("a").alias("k"), "s0", "s1").dropDuplicates(["band", "k"])
     blocks = members.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     placed = members.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(F.col("own"), other).alias("x"), F.greatest(F.col("own"), other).alias("y")))
@@ -239,7 +250,7 @@ def links(digested: DataFrame) -> DataFrame:
     left = placed.where("own = cell.x").select("band", "cell", *[F.col(c).alias(f"{c}_x") for c in ("k", "s0", "s1")])
     right = placed.where("own = cell.y").select("band", "cell", *[F.col(c).alias(f"{c}_y") for c in ("k", "s0", "s1")])
     far = left.join(right, ["band", "cell"]).where("k_x <> k_y").drop("band", "cell").mapInPandas(_cells, "a long, b long")
-    pairs = cut(near.where("b is not null").select("a", "b").unionByName(far).distinct(), "pairs")
+    pairs = cut(near.where(F.col("b") != NONE).select("a", "b").unionByName(far).distinct(), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("text_key"))
     shared = digested.sparkSession.sparkContext.broadcast(_filter_bits(needed))
     wanted = texts.mapInPandas(_passing(shared, FILTER_BITS), texts.schema).dropDuplicates(["text_key"])
