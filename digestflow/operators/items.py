@@ -85,10 +85,11 @@ def probe_report(items: DataFrame, sources: DataFrame) -> DataFrame:
 def limited(items: DataFrame, sources: DataFrame) -> DataFrame:
     """The first `item_limit` items of each enabled source in order of arrival, with the attributes of the source."""
     dim = sources.where("enabled").select(F.col("source").alias("_s"), "item_limit", "display_name")
+    most = dim.agg(F.max("item_limit")).first()[0] or 0  # a constant bound lets the rank stop early within each task
     joined = items.join(dim, F.col("source") == F.col("_s"))
     place = F.row_number().over(W.partitionBy("source").orderBy("ordinal"))
     label = F.when(F.trim("source_label") != "", F.col("source_label")).otherwise(F.col("display_name"))
-    return joined.withColumn("place", place).where("place <= item_limit").select("ordinal", "source", "place", label.alias("label"))
+    return joined.withColumn("place", place).where(F.col("place") <= most).where("place <= item_limit").select("ordinal", "source", "place", label.alias("label"))
 
 
 def source_coverage(items: DataFrame, sources: DataFrame, tier: str = "A") -> DataFrame:
