@@ -45,7 +45,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def runs(text: str, words: dict[str, int], width: int = 3) -> tuple[int, np.ndarray]:
+class WordHashes(dict):
+    """Hashes of words, remembered up to a limit."""
+
+    def __missing__(self, word: str) -> int:
+        h = xxhash.xxh64_intdigest(word)
+        if len(self) < 50_000:
+            self[word] = h
+        return h
+
+
+def runs(text: str, words: WordHashes, width: int = 3) -> tuple[int, np.ndarray]:
     """Key of the normalised text and the sorted distinct hashes (32 bits) of its runs; key 0 for a text without words."""
     text = text.lower()
     plain = text.isascii()
@@ -55,15 +65,7 @@ def runs(text: str, words: dict[str, int], width: int = 3) -> tuple[int, np.ndar
     else:
         found = text.translate(_ASCII_BREAKS).split() if plain else _WORD.findall(text)
         joined = " ".join(found)
-        ids = []
-        for w in found:
-            h = words.get(w)
-            if h is None:
-                h = xxhash.xxh64_intdigest(w)
-                if len(words) < 50_000:
-                    words[w] = h
-            ids.append(h)
-        units = np.array(ids, dtype=np.uint64)
+        units = np.fromiter(map(words.__getitem__, found), dtype=np.uint64, count=len(found))
     if not joined:
         return 0, np.empty(0, dtype=np.uint32)
     key = xxhash.xxh64_intdigest(joined) >> 1
@@ -78,14 +80,13 @@ def min_hashes(run_hashes: np.ndarray) -> np.ndarray:
     """SKETCH_BITS min-hashes of a set of run hashes."""
     least = np.full(SKETCH_BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for start in range(0, len(run_hashes), 8192):
-        x = _mix(run_hashes[start : start + 8192].astype(np.uint64) + _M2)[None, :] * _A
-        x ^= x >> np.uint64(32)
-        least = np.minimum(least, (x * _M1).min(axis=1))
+        mixed = _mix(run_hashes[start : start + 8192].astype(np.uint64) + _M2)
+        least = np.minimum(least, (mixed[None, :] * _A).min(axis=1))
     return _mix(least)
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    words: dict[str, int] = {}
+    words = WordHashes()
     for batch in batches:
         out = [runs(f"{t or ''} {b or ''}", words) for t, b in zip(batch["title"], batch["body"], strict=True)]
         yield pd.DataFrame({"ordinal": batch["ordinal"], "text_key": [k for k, _ in out], "runs": [r.tobytes() for _, r in out]})

@@ -112,13 +112,15 @@ def _site(name: str | None) -> str:
     return re.sub(r"[\W_]+", " ", (name or "").lower()).strip()
 
 
-_ASCII_OTHER = {c: None for c in range(128) if not chr(c).isalpha()}
+_ASCII_OTHER = bytes(c for c in range(128) if not chr(c).isalpha())
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def _line_key(source: str | None, line: str) -> int | None:
     """Identifier of a line within its source: the hash of its letters; None without letters."""
-    letters = line.translate(_ASCII_OTHER).lower() if line.isascii() else _NO_LETTERS.sub("", line.lower())
+    letters = line.encode("utf-8", "surrogatepass").translate(None, _ASCII_OTHER).decode("utf-8", "surrogatepass").lower()
+    if not letters.isascii():
+        letters = _NO_LETTERS.sub("", letters)
     return _hash("line", source or "", letters) if letters else None
 
 
