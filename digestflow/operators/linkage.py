@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.functions import text
+from digestflow.operators import setjoin
 from digestflow.operators.components import connected_components
 from digestflow.operators.items import HOURS, typed_items_sql
 from digestflow.session import cut
@@ -23,30 +24,12 @@ def tokenised(items: DataFrame) -> DataFrame:
     return items.select("ordinal", "source", "source_channel", F.coalesce("published_us", "discovered_us").alias("at"), ids.alias("ids"), text.title_tokens(head).alias("tokens"))
 
 
-def prefix_candidates(rows: DataFrame, threshold: float, window: int) -> DataFrame:
-    """(a, b) with a < b: pairs within the time window that share a token of their prefixes, rarest tokens first; lossless for the threshold.
-
-    rows(ordinal, at, tokens). A pair at Jaccard t or more shares one of the first n - ceil(t n) + 1 tokens of both in any common
-    order. Time is cut into buckets of the window's width, and the right side stands in the neighbouring buckets too.
-    """
-    exploded = rows.select("ordinal", F.explode("tokens").alias("token"))
-    frequency = exploded.groupBy("token").agg(F.count("*").alias("df"))
-    ranked = exploded.join(frequency, "token").groupBy("ordinal").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order"))
-    size = F.size("order")
-    keep = size - F.ceil(F.lit(threshold) * size - F.lit(1e-9)).cast("int") + 1
-    prefix = ranked.select(F.col("ordinal").alias("_o"), size.alias("n"), F.explode(F.slice("order", F.lit(1), keep)).alias("t")).select("_o", "n", F.xxhash64("t.token").alias("k"))
-    placed = rows.select("ordinal", "at").join(prefix, F.col("ordinal") == F.col("_o")).select("ordinal", "at", "n", "k", F.floor(F.col("at") / F.lit(window).cast("long")).alias("w"))
-    left = placed.select(F.col("ordinal").alias("a"), F.col("at").alias("at_a"), F.col("n").alias("n_a"), "k", "w")
-    right = placed.select(F.col("ordinal").alias("b"), F.col("at").alias("at_b"), F.col("n").alias("n_b"), "k", F.explode(F.sequence(F.col("w") - 1, F.col("w") + 1)).alias("w"))
-    near = left.join(right, ["k", "w"]).where((F.col("a") < F.col("b")) & (F.abs(F.col("at_a") - F.col("at_b")) <= F.lit(window).cast("long")))
-    return near.where((F.col("n_b") >= F.lit(threshold) * F.col("n_a") - 1e-9) & (F.col("n_a") >= F.lit(threshold) * F.col("n_b") - 1e-9)).select("a", "b").distinct()
-
-
 def similar_pairs(items: DataFrame, window_hours: int = WINDOW_HOURS) -> DataFrame:
     """(a, b, common, jaccard): items within the window that share an identifier, or enough tokens unless both are releases of one source."""
     rows = cut(tokenised(items), "tokenised")
     window = window_hours * HOURS
-    by_tokens = prefix_candidates(rows.select("ordinal", "at", "tokens"), JACCARD, window)
+    packed = cut(setjoin.blocks(rows.select("ordinal", "at", "tokens"), window), "blocks")
+    by_tokens = setjoin.self_candidates(packed, JACCARD, CONTAINMENT, window)
     named = rows.select("ordinal", "at", F.explode("ids").alias("id"))
     by_id = named.alias("x").join(named.alias("y"), (F.col("x.id") == F.col("y.id")) & (F.col("x.ordinal") < F.col("y.ordinal")) & (F.abs(F.col("x.at") - F.col("y.at")) <= F.lit(window).cast("long")))
     pairs = by_tokens.unionByName(by_id.select(F.col("x.ordinal").alias("a"), F.col("y.ordinal").alias("b"))).distinct()

@@ -7,8 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from digestflow.functions import text, urls
+from digestflow.operators import setjoin
 from digestflow.operators.items import HOURS
-from digestflow.operators.linkage import CHANNEL_RANK, prefix_candidates
+from digestflow.operators.linkage import CHANNEL_RANK
+from digestflow.session import cut
 
 # Scores and terms of the ranking.
 CHANNEL_SCORE = {"official": 30, "news": 24, "release": 18, "community": 16, "research": 12}
@@ -73,19 +75,22 @@ def event_scores_sql() -> str:
 def told_before(events: DataFrame, history_urls: DataFrame, history_titles: DataFrame) -> DataFrame:
     """(event_id, by_page, by_title): events whose page or title stands in the history.
 
-    Titles match with equal product ids and enough common tokens. Candidates come from the lossless prefix filter, on one time.
+    Titles match with equal product ids and enough common tokens. Candidates come from the lossless bitmap bound.
     """
     past = history_urls.select(urls.canonical_url(F.col("url")).alias("page")).distinct().withColumn("_page", F.lit(True))
     by_page = events.select("event_id", urls.canonical_url(F.col("canonical_url")).alias("page")).join(past, "page").select("event_id").distinct()
-    now = events.select(F.xxhash64(F.lit("e"), F.col("event_id")).alias("ordinal"), "event_id", "title")
-    old = history_titles.where("title is not null").select("title").distinct().select(F.xxhash64(F.lit("h"), F.col("title")).alias("ordinal"), F.lit(None).cast("string").alias("event_id"), "title")
-    rows = now.unionByName(old).select("ordinal", "event_id", F.lit(0).cast("long").alias("at"), text.title_tokens(F.coalesce("title", F.lit(""))).alias("tokens"), text.product_ids(F.coalesce("title", F.lit(""))).alias("products"))
-    side = lambda s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("ordinal", "event_id", "tokens", "products")])
-    pairs = prefix_candidates(rows, HISTORY_JACCARD, HOURS).join(side("a"), F.col("a") == F.col("ordinal_a")).join(side("b"), F.col("b") == F.col("ordinal_b"))
-    pairs = pairs.where(F.col("event_id_a").isNotNull() != F.col("event_id_b").isNotNull())
+    def prepared(df: DataFrame, mark: str) -> DataFrame:
+        named = df.select(F.xxhash64(F.lit(mark), F.col("key")).alias("ordinal"), "key", "title")
+        return cut(named.select("ordinal", "key", F.lit(0).cast("long").alias("at"), text.title_tokens(F.coalesce("title", F.lit(""))).alias("tokens"), text.product_ids(F.coalesce("title", F.lit(""))).alias("products")), "titles")
+
+    now = prepared(events.select(F.col("event_id").alias("key"), "title"), "e")
+    old = prepared(history_titles.where("title is not null").select(F.col("title").alias("key"), "title").distinct(), "h")
+    found = setjoin.cross_candidates(setjoin.blocks(now, HOURS), setjoin.blocks(old, HOURS), HISTORY_JACCARD, HISTORY_CONTAINMENT, HOURS)
+    side = lambda df, s: df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("ordinal", "key", "tokens", "products")])
+    pairs = found.join(side(now, "a"), F.col("a") == F.col("ordinal_a")).join(side(old, "b"), F.col("b") == F.col("ordinal_b"))
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     match = (F.col("products_a") == F.col("products_b")) & (common >= F.lit(HISTORY_CONTAINMENT) * F.least(F.size("tokens_a"), F.size("tokens_b"))) & (common >= F.lit(HISTORY_JACCARD) * (F.size("tokens_a") + F.size("tokens_b") - common)) & (common > 0)
-    by_title = pairs.where(match).select(F.coalesce("event_id_a", "event_id_b").alias("event_id")).distinct()
+    by_title = pairs.where(match).select(F.col("key_a").alias("event_id")).distinct()
     both = by_page.withColumn("by_page", F.lit(True)).join(by_title.withColumn("by_title", F.lit(True)), "event_id", "full")
     return both.select("event_id", F.coalesce("by_page", F.lit(False)).alias("by_page"), F.coalesce("by_title", F.lit(False)).alias("by_title"))
 
