@@ -22,9 +22,9 @@ def parse_instants(records: DataFrame, sources: DataFrame, zones: DataFrame | No
     """records(rec_table, ordinal, source, published_at, discovered_at) to (rec_table, ordinal, source, local_us, fixed_us, discovered_us).
 
     fixed_us is set where the text holds a zone or an epoch, local_us where it is a bare wall clock; rows without an instant are dropped.
-    Null, empty and unreadable texts, relative words and impossible dates give no row. Repeated rows each give their row.
+    Null, empty and unreadable texts, relative words, impossible dates and rows without ordinal give no row. Repeated rows each give their row.
     """
-    records = records.select("rec_table", "ordinal", "source", "published_at", "discovered_at")
+    records = records.where("ordinal is not null").select("rec_table", "ordinal", "source", "published_at", "discovered_at")
     dim = sources.where("source is not null").select(F.col("source").alias("_source"), F.col("source_tz").alias("_tz"), F.col("date_order").alias("_order")).dropDuplicates(["_source"])
     once = lambda c: F.explode(F.array(c))  # noqa: E731  a generator keeps the planner from inlining a long expression at each use
     parts = records.join(dim, F.col("source") == F.col("_source"), "left").withColumn("_parts", once(ts.timestamp_parts(F.col("published_at"))))
