@@ -192,7 +192,7 @@ def candidate_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.candidate_pool(event_scores(spark, sf_dir).join(told_before(spark, sf_dir), "event_id", "left_anti"))
 
 
-@register("candidate_batches", _NEW + ranking.candidate_pool_sql() + " SELECT place, event_id, (place - 1) // 10 AS batch FROM pool")
+@register("candidate_batches", _NEW + ranking.candidate_pool_sql() + " SELECT place, event_id, ((place - 1) // 10)::BIGINT AS batch FROM pool")
 def candidate_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.batches_of(candidate_pool(spark, sf_dir))
 

@@ -45,7 +45,7 @@ _SHIPPED: set[str] = set()
 def _folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
-        return configured
+        return f"{configured.rstrip('/')}/digestflow-{spark.sparkContext.applicationId}"
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
     app = spark.sparkContext.applicationId
