@@ -338,3 +338,41 @@ def newest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("daily_digest")
 def daily_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.daily_digest(table(spark, sf_dir, "raw_items"), table(spark, sf_dir, "history_urls"), table(spark, sf_dir, "history_titles"))
+
+
+@register("guesses_removed", f"SELECT ordinal, {text.without_guesses_sql('text')} AS kept, regexp_matches(text, '{text.GUESSING}') AS guessed FROM claims WHERE text IS NOT NULL")
+def guesses_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "claims").where("text is not null")
+    return told.select("ordinal", text.without_guesses(F.col("text")).alias("kept"), F.col("text").rlike(text.GUESSING).alias("guessed"))
+
+
+@register("escaped_titles", f"SELECT ordinal, {text.escaped_sql('title')} AS title FROM raw_items")
+def escaped_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "raw_items").select("ordinal", text.escaped(F.col("title")).alias("title"))
+
+
+@register("event_fingerprints", "SELECT event_id, sha256(coalesce(event_id, '') || chr(31) || coalesce(canonical_url, '') || chr(31) || coalesce(title, '') || chr(31) || coalesce(summary, '')) AS fingerprint FROM news_events")
+def event_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [F.col(c) for c in ("event_id", "canonical_url", "title", "summary")]
+    return table(spark, sf_dir, "news_events").select("event_id", text.fingerprint(*parts).alias("fingerprint"))
+
+
+@register("event_days", "SELECT strftime(make_timestamp(epoch_us(published_at)) + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, count(*) AS events, sum(len(items))::BIGINT AS items FROM news_events WHERE published_at IS NOT NULL GROUP BY 1")
+def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by calendar day in China, whose clock stands eight hours before UTC all year."""
+    local = F.date_format(F.from_utc_timestamp("published_at", "Asia/Shanghai"), "yyyy-MM-dd")
+    return table(spark, sf_dir, "news_events").where("published_at is not null").groupBy(local.alias("day")).agg(F.count("*").alias("events"), F.sum(F.size("items")).alias("items"))
+
+
+@register(
+    "written_dates",
+    r"""SELECT ordinal, try_strptime(regexp_extract(summary, '\b(20[0-9]{2}-[0-9]{2}-[0-9]{2})\b', 1), '%Y-%m-%d')::DATE AS written FROM raw_items WHERE regexp_matches(summary, '\b20[0-9]{2}-[0-9]{2}-[0-9]{2}\b')
+      UNION ALL SELECT ordinal, try_strptime(regexp_extract(published_at, '^([A-Z][a-z]+ [0-9]{1,2}, [0-9]{4})', 1), '%B %d, %Y')::DATE FROM raw_items WHERE regexp_matches(published_at, '^[A-Z][a-z]{3,} [0-9]{1,2}, [0-9]{4}')""",
+)
+def written_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates written in running text: ISO dates of summaries, long English dates of publication texts."""
+    items_ = table(spark, sf_dir, "raw_items").select("ordinal", "summary", "published_at")
+    iso, long = r"\b(20[0-9]{2}-[0-9]{2}-[0-9]{2})\b", r"^([A-Z][a-z]{3,} [0-9]{1,2}, [0-9]{4})"
+    in_text = items_.where(F.col("summary").rlike(iso)).select("ordinal", F.try_to_timestamp(F.regexp_extract("summary", iso, 1), F.lit("yyyy-MM-dd")).cast("date").alias("written"))
+    published = items_.where(F.col("published_at").rlike(long)).select("ordinal", F.try_to_timestamp(F.regexp_extract("published_at", long, 1), F.lit("MMMM d, yyyy")).cast("date").alias("written"))
+    return in_text.unionByName(published)

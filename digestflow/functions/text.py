@@ -107,3 +107,35 @@ def numeric(text: Column) -> Column:
 
 def numeric_sql(text: str) -> str:
     return f"(CASE WHEN regexp_full_match({text}, '-?[0-9]+(\\.[0-9]+)?') THEN TRY_CAST({text} AS DOUBLE) END)"
+
+
+# Wording that guesses rather than reports.
+GUESSING = "传闻|尚未证实|据猜测|推测|可能性(?:较?高|较?大)|或将|或随后|(?:可能|也许|预计|有望).{0,16}(?:发布|推出|上线|开放|宣布|融资|收购|合并)"
+
+
+def without_guesses(copy: Column) -> Column:
+    """Clauses between ； and 。 without those that guess, joined by ；."""
+    clauses = F.transform(F.split(copy, "[；。]"), F.trim)
+    return F.array_join(F.filter(clauses, lambda c: (c != "") & ~c.rlike(GUESSING)), "；")
+
+
+def without_guesses_sql(copy: str) -> str:
+    return f"array_to_string(list_filter(list_transform(regexp_split_to_array({copy}, '[；。]'), lambda c: trim(c)), lambda c: c <> '' AND NOT regexp_matches(c, '{GUESSING}')), '；')"
+
+
+def escaped(text: Column) -> Column:
+    """HTML escapes of the five special characters."""
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        text = F.replace(text, F.lit(sign), F.lit(entity))
+    return text
+
+
+def escaped_sql(text: str) -> str:
+    for sign, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#x27;")):
+        text = f"replace({text}, '{sign}', '{entity}')"
+    return text
+
+
+def fingerprint(*parts: Column) -> Column:
+    """SHA-256 of the parts, nulls as empty, joined by a unit separator."""
+    return F.sha2(F.concat_ws("\x1f", *[F.coalesce(p, F.lit("")) for p in parts]), 256)
