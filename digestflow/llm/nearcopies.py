@@ -5,8 +5,8 @@ runs give banded keys, which propose pairs, and a sketch of one bit per hash. Pr
 their sketches (bitslice.py) and then an exact Jaccard check on the runs; accepted links are contracted to components.
 Records with one and the same text are one node throughout, so a text repeated in a third of all rows costs one row.
 
-With 24 bands of 3 hashes a link at exactly one half is proposed with probability 0.959, at 0.6 with 0.997, at 0.7 with 0.99995; the sketch radius
-is four standard deviations beyond the expected distance at one half. The band rows carry the sketch, so a bucket is compared where it
+With 42 bands of 3 hashes (all the sketch has) a link at exactly one half is proposed with probability 0.996, at 0.6 with 0.99995; what no band
+proposes is not found. The sketch radius is four standard deviations beyond the expected distance at one half. The band rows carry the sketch, so a bucket is compared where it
 lies; buckets larger than a block are compared block against block in separate tasks. Records without any word match nothing; null titles and summaries count as empty; rows repeated under
 other ordinals are members of one group.
 """
@@ -27,7 +27,7 @@ from digestflow.llm.base import skip_empty
 from digestflow.operators.components import connected_components
 from digestflow.session import cut
 
-BANDS, ROWS, SKETCH_BITS = 24, 3, 128
+BANDS, ROWS, SKETCH_BITS = 42, 3, 128
 THRESHOLD, RADIUS = 0.5, 52
 BLOCK = 256
 FILTER_BITS = 1 << 21

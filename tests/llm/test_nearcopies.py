@@ -69,6 +69,17 @@ def test_one_text_many_times_is_one_node(spark):
     assert [r["count"] for r in got] == [500]
 
 
+def test_links_at_one_half_are_proposed(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(1000):
+        own = rng.choice(2**32, 80, replace=False).astype(np.uint32)
+        rows += [(2 * i, 2 * i + 1, np.sort(own[:60]).tobytes()), (2 * i + 1, 2 * i + 2, np.sort(own[20:]).tobytes())]
+    found = nearcopies.links(spark.createDataFrame(rows, "ordinal long, text_key long, runs binary")).collect()
+    assert all(r.a % 2 == 1 and r.b == r.a + 1 for r in found)
+    assert len(found) >= 990
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "ordinal long, title string, body string")
     assert nearcopies.group_pairs(nearcopies.groups(df)).count() == 0
