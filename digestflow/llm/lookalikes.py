@@ -3,7 +3,7 @@
 A token that holds odd characters (other widths and styles, joined or compatibility forms, split accents, letters of another script inside a
 word, invisible characters) walks a trie of the clean words of the corpus. The automaton reads look-alikes and ignorable
 characters at no cost, so it ends at every clean spelling the token may stand for; the spelling used most is canonical, written
-in the token's own case. Tokens that end nowhere, single characters and spaces are normalised by table.
+in the token's own case. Every such token walks the trie, whether the table knows it or not. Tokens that end nowhere, single characters and spaces are normalised by table.
 
 Left as they are: Chinese punctuation, typographic quotes, dashes and ellipses, emoji sequences, Greek symbols, and words wholly in
 another script. Null texts and rows without ordinal give no row; texts without odd characters are not touched.
@@ -47,9 +47,11 @@ STYLED = (
     "Ǆ-ǌǱ-ǳĲĳŉ\U0001d400-\U0001d7ff\U0001f110-\U0001f12f\U0001f130-\U0001f149\U0001f150-\U0001f169\U0001f170-\U0001f189\U0002f800-\U0002fa1f"
 )
 MARKS = "\u0300-\u0345\u0347-\u034e\u0350-\u036f"
+LATIN_ODD = "ıɡɑ"  # Latin letters that look like another; the table leaves them, as some languages write them
 _HINT = re.compile(rf"[{INVISIBLE}{SPACES}{STYLED}{MARKS}]|[Ͱ-ϿЀ-ԯ]")
 _STYLED = re.compile(rf"[{STYLED}]+")
 _SPLIT = re.compile(rf"[^\W\d_][{MARKS}]+")
+_MARKS = re.compile(rf"[{MARKS}]")
 _SPACE = re.compile(rf"[{SPACES}]")
 _HIDDEN = re.compile(rf"[{INVISIBLE}]+")
 _PICTURE = re.compile("[←-⯿〰〽㊗㊙\U0001f000-\U0001faff\u20e3#*0-9©®]")
@@ -109,9 +111,14 @@ def by_table(text: str) -> str:
     return _WORD.sub(lambda m: _one_script(m[0]), text)
 
 
+def _mixed(word: str) -> bool:
+    """A word with a Latin letter of its own beside look-alikes or characters the automaton ignores."""
+    return (any(c in LATIN_TWINS for c in word) or _MARKS.search(word) is not None or _HIDDEN.search(word) is not None) and any(_script(c) == "l" and c not in LATIN_TWINS for c in word)
+
+
 def odd_tokens(text: str) -> list[str]:
-    """The words of a text that table normalisation changes."""
-    return [w for w in _WORD.findall(text) if not w.isascii() and any(c.isalnum() for c in w) and by_table(w) != w]
+    """The words of a text for the automaton: those that table normalisation changes, and those of mixed scripts or with ignorables that it leaves."""
+    return [w for w in _WORD.findall(text) if not w.isascii() and any(c.isalnum() for c in w) and (_mixed(w) or by_table(w) != w)]
 
 
 class Trie:
@@ -171,7 +178,14 @@ class Trie:
         found = self.ends(token)
         if not found:
             return plain
-        best = min(found, key=lambda w: (w != plain, w.lower() != plain.lower(), -found[w], w))
+        if any(c in LATIN_ODD for c in plain):
+            # such a word may be right as it stands: the letters used most decide
+            uses: dict[str, int] = {}
+            for w, n in found.items():
+                uses[w.lower()] = uses.get(w.lower(), 0) + n
+            best = min(found, key=lambda w: (-uses[w.lower()], w.lower() != plain.lower(), w != plain, -found[w], w))
+        else:
+            best = min(found, key=lambda w: (w != plain, w.lower() != plain.lower(), -found[w], w))
         if len(best) != len(plain):
             return best
         return "".join(b.upper() if p.isupper() else b.lower() for b, p in zip(best, plain, strict=True))
@@ -233,17 +247,17 @@ def _row_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 @skip_empty
 def _odd_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield batch.astype(object)[np.array([by_table(t) != t for t in batch["text"]], dtype=bool)]
+        yield batch.astype(object)[np.array([by_table(t) != t or bool(odd_tokens(t)) for t in batch["text"]], dtype=bool)]
 
 
 def canonical_texts(texts: DataFrame) -> DataFrame:
-    """texts(rec_table, ordinal, text) to (rec_table, ordinal, text, canonical) of the texts that held odd characters."""
-    hint = "[" + "".join(rf"\x{{{ord(c):x}}}" if c != "-" else "-" for c in INVISIBLE + SPACES + STYLED + MARKS) + r"\x{370}-\x{52f}]"
+    """texts(rec_table, ordinal, text) to (rec_table, ordinal, text, canonical) of the texts whose canonical form is another: a word ends at another clean spelling, or the table changes it."""
+    hint = "[" + "".join(rf"\x{{{ord(c):x}}}" if c != "-" else "-" for c in INVISIBLE + SPACES + STYLED + MARKS + LATIN_ODD) + r"\x{370}-\x{52f}]"
     texts = texts.where("ordinal is not null").select("rec_table", "ordinal", "text")
     odd = cut(texts.where(F.col("text").rlike(hint)).mapInPandas(_odd_rows, texts.schema), "odd")
     chosen = spellings(odd, texts)
     pairs = odd.mapInPandas(_row_tokens, "rec_table string, ordinal long, token string").join(chosen, "token").groupBy("rec_table", "ordinal").agg(F.collect_list(F.struct("token", "spelling")).alias("pairs"))
-    return odd.join(pairs, ["rec_table", "ordinal"], "left").mapInPandas(_rewrite, "rec_table string, ordinal long, text string, canonical string")
+    return odd.join(pairs, ["rec_table", "ordinal"], "left").mapInPandas(_rewrite, "rec_table string, ordinal long, text string, canonical string").where("canonical <> text")
 
 
 def text_records(raw_items: DataFrame, claims: DataFrame) -> DataFrame:

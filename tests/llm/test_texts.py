@@ -30,6 +30,13 @@ def test_canonical_rows(spark):
     assert lookalikes.canonical_texts(df.limit(0)).count() == 0
 
 
+def test_twins_known_to_the_automaton_alone(spark):
+    rows = ["The cheсkpoinт of schedulıng loɡs", "The checkpoint of scheduling logs", "scheduling", "кот и тигр", "kapı kapı kapi", "чекpoint"]
+    df = spark.createDataFrame([("raw_items", i, t) for i, t in enumerate(rows)], "rec_table string, ordinal long, text string")
+    got = {r.ordinal: r.canonical for r in lookalikes.canonical_texts(df).collect()}
+    assert got == {0: "The checkpoint of scheduling logs"}
+
+
 def test_truncation_on_held_out_cuts(spark):
     rng = np.random.default_rng(5)
     words = "the cache router ledger moves lowers older open digest every one budget before review".split()
