@@ -42,6 +42,12 @@ def test_prefix_span_counts_documents_and_keeps_order(items):
     assert sorted(map(len, got)) == [1, 1, 2, 2, 2, 3] and set(got.values()) == {8}
 
 
+def test_prefix_span_grows_until_a_level_is_empty(items):
+    data = [(i, "s", "t", "Share this\nRead on\nAll rights\nContact us\nImprint") for i in range(8)]
+    got = [len(r.sequence) for r in lines.prefix_span(items(data)).collect()]
+    assert sorted(got) == sorted(n for n, many in ((1, 5), (2, 10), (3, 10), (4, 5), (5, 1)) for _ in range(many))
+
+
 def test_removed_lines_and_cleaned_summary(items):
     cleaned = {r.ordinal: r.cleaned for r in lines.remove_repeated_lines(items(rows())).collect()}
     assert "Reading time" not in cleaned[3] and cleaned[900] == "" and cleaned[901] is None
