@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from digestflow.llm import pages
+from digestflow.llm.base import skip_empty
 from digestflow.session import cut
 
 SAMPLE = 20_000
@@ -48,8 +49,8 @@ def _kind(ch: str) -> str:
     return "digit" if ch.isdigit() else "upper" if ch.isupper() else "lower" if ch.isalpha() else "other"
 
 
-def closing_features(tail: str, near_limit: int) -> list[str]:
-    """Features of a closing line; near_limit tells how far the text's length is from one its source piles up at (0: just there, 9: far)."""
+def closing_features(tail: str, near_limit: int, item: bool, closing: bool) -> list[str]:
+    """Features of a closing line; item and closing tell the kind of the whole line, near_limit tells how far the text's length is from one its source piles up at (0: just there, 9: far)."""
     line = tail.rstrip()
     bare = _TRAIL.sub("", line)
     kinds = [_kind(c) for c in line[-3:]]
@@ -57,7 +58,7 @@ def closing_features(tail: str, near_limit: int) -> list[str]:
     return [
         "bias", "last:" + "/".join(kinds[-1:]), "last2:" + "/".join(kinds[-2:]), "last3:" + "/".join(kinds),
         f"closed:{_CLOSED.search(line) is not None}", f"trail:{bare != line}", f"bare:{_CLOSED.search(bare) is not None}",
-        f"item:{pages.is_item(line)}", f"closing:{pages.is_closing(line)}", f"quote:{min(max(quotes, -1), 1)}",
+        f"item:{item}", f"closing:{closing}", f"quote:{min(max(quotes, -1), 1)}",
         f"limit:{near_limit}", f"limit-closed:{near_limit == 0}:{_CLOSED.search(line) is not None}",
     ]
 
@@ -66,23 +67,23 @@ def _slots(features: list[str]) -> list[int]:
     return [xxhash.xxh32_intdigest(f) % WIDTH for f in features]
 
 
-def fit(tails: list[str], near: list[int], seed: int = 11, steps: int = 250) -> np.ndarray:
+def fit(tails: list[str], near: list[int], items: list[bool], closing: list[bool], seed: int = 11, steps: int = 250) -> np.ndarray:
     """Weights of the logistic regression from intact values and their artificial cuts."""
     rng = np.random.default_rng(seed)
     rows, labels = [], []
-    for tail, limit in zip(tails, near, strict=True):
+    for tail, limit, item, closes in zip(tails, near, items, closing, strict=True):
         line = tail.rstrip()
-        if not (_CLOSED.search(line) or pages.is_item(line) or pages.is_closing(line)):
+        if not (_CLOSED.search(line) or item or closes):
             continue  # not surely intact
-        rows.append(closing_features(line, limit))
+        rows.append(closing_features(line, limit, item, closes))
         labels.append(0.0)
-        if len(line) < 12 or pages.is_item(line) or pages.is_closing(line):
+        if len(line) < 12 or item or closes:
             continue
         broken = line[: int(rng.integers(6, len(line)))].rstrip()
         if _STOPPED.search(broken):
             continue
         broken += str(rng.choice(["", "", "", "…", "...", " [...]", " […]", "�"]))
-        rows.append(closing_features(broken, 0 if rng.random() < 0.6 else 9))
+        rows.append(closing_features(broken, 0 if rng.random() < 0.6 else 9, False, pages.is_closing(broken)))
         labels.append(1.0)
     weights = np.zeros(WIDTH, dtype=np.float64)
     if not rows:
@@ -106,25 +107,33 @@ def fit(tails: list[str], near: list[int], seed: int = 11, steps: int = 250) ->
     return weights
 
 
+@skip_empty
+def _tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The kind of each whole closing line, and its last TAIL characters."""
+    for batch in batches:
+        whole = [line.rstrip() for line in batch["line"]]
+        yield pd.DataFrame({"rec_table": batch["rec_table"].astype(object), "ordinal": batch["ordinal"], "source": batch["source"].astype(object), "tail": [w[-TAIL:] for w in whole], "item": [pages.is_item(w) for w in whole], "closing": [pages.is_closing(w) for w in whole], "size": batch["size"]})
+
+
 def closings(texts: DataFrame) -> DataFrame:
-    """texts(rec_table, ordinal, source, text) to (rec_table, ordinal, source, tail, near_limit) of the texts that are not blank."""
+    """texts(rec_table, ordinal, source, text) to (rec_table, ordinal, source, tail, item, closing, near_limit) of the texts that are not blank."""
     last = F.try_element_at(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"\S")), F.lit(-1))
-    told = texts.where(F.col("text").rlike(r"\S") & F.col("ordinal").isNotNull()).select("rec_table", "ordinal", "source", F.substring(last, -TAIL, TAIL).alias("tail"), F.length("text").alias("size"))
-    told = cut(told, "tails")
+    told = texts.where(F.col("text").rlike(r"\S") & F.col("ordinal").isNotNull()).select("rec_table", "ordinal", "source", last.alias("line"), F.length("text").alias("size"))
+    told = cut(told.mapInPandas(_tails, "rec_table string, ordinal long, source string, tail string, item boolean, closing boolean, size int"), "tails")
     # lengths a source piles up at: many more texts than in the neighbourhood
     counts = told.groupBy("rec_table", "source", "size").agg(F.count("*").alias("n"))
     around = F.avg("n").over(W.partitionBy("rec_table", "source").orderBy("size").rangeBetween(-40, 40))
     piles = counts.withColumn("around", around).where((F.col("n") >= 4) & (F.col("n") >= 3 * F.col("around"))).select(F.col("rec_table").alias("_t"), F.col("source").alias("_s"), F.explode(F.sequence(F.col("size"), F.col("size") + 6)).alias("_n")).distinct()
     joined = told.join(piles, (F.col("rec_table") == F.col("_t")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_n")), "left")
-    return joined.select("rec_table", "ordinal", "source", "tail", F.when(F.col("_n").isNotNull(), 0).otherwise(9).alias("near_limit"))
+    return joined.select("rec_table", "ordinal", "source", "tail", "item", "closing", F.when(F.col("_n").isNotNull(), 0).otherwise(9).alias("near_limit"))
 
 
 def _score(weights: object):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = weights.value
         for batch in batches:
-            margin = [float(w[_slots(closing_features(t, n))].sum()) for t, n in zip(batch["tail"], batch["near_limit"], strict=True)]
-            exact = [not (pages.is_item(t) or pages.is_closing(t) or _CLOSED.search(t.rstrip()) is not None and not _TRAIL.search(t)) for t in batch["tail"]]
+            margin = [float(w[_slots(closing_features(*row))].sum()) for row in zip(batch["tail"], batch["near_limit"], batch["item"], batch["closing"], strict=True)]
+            exact = [not (i or c or _CLOSED.search(t.rstrip()) is not None and not _TRAIL.search(t)) for t, i, c in zip(batch["tail"], batch["item"], batch["closing"], strict=True)]
             probability = 1.0 / (1.0 + np.exp(-np.array(margin)))
             yield pd.DataFrame({"rec_table": batch["rec_table"].astype(object), "ordinal": batch["ordinal"], "source": batch["source"].astype(object), "probability": probability, "truncated": (probability > 0.5) & np.array(exact, dtype=bool)})
 
@@ -137,8 +146,8 @@ def score(texts: DataFrame, sample: int = SAMPLE) -> DataFrame:
     key = F.xxhash64("rec_table", "ordinal")
     # a hash threshold leaves little more than the sample, so that the order is settled over few rows
     share = min(1.0, 1.5 * sample / max(1, told.count()))
-    chosen = told.where(F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(key, "rec_table", "ordinal").limit(sample).select("tail", "near_limit").toPandas()
-    weights = told.sparkSession.sparkContext.broadcast(fit(list(chosen["tail"]), list(chosen["near_limit"])))
+    chosen = told.where(F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(key, "rec_table", "ordinal").limit(sample).select("tail", "near_limit", "item", "closing").toPandas()
+    weights = told.sparkSession.sparkContext.broadcast(fit(list(chosen["tail"]), list(chosen["near_limit"]), list(chosen["item"]), list(chosen["closing"])))
     return told.mapInPandas(_score(weights), "rec_table string, ordinal long, source string, probability double, truncated boolean")
 
 

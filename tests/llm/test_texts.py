@@ -47,6 +47,16 @@ def test_truncation_on_held_out_cuts(spark):
     assert sum(got[i] for i in range(400)) == 0 and sum(got[i] for i in range(400, 460)) >= 59 and not any(got[i] for i in (460, 461, 462)) and 463 not in got
 
 
+def test_long_items_and_tag_lines_are_complete(spark):
+    rng = np.random.default_rng(5)
+    words = "the cache router ledger moves lowers older open digest every one budget before review".split()
+    whole = [" ".join(rng.choice(words, 14)).capitalize() + "." for _ in range(200)]
+    long = " ".join(rng.choice(words, 90))
+    rows = [("raw_items", i, "s", t) for i, t in enumerate([*whole, "- " + long, "Tags: " + long, long, "Whole." + " " * 300])]
+    got = {r.ordinal: r.truncated for r in truncation.score(spark.createDataFrame(rows, "rec_table string, ordinal long, source string, text string")).collect()}
+    assert [got[i] for i in range(200, 204)] == [False, False, True, False]
+
+
 def test_truncation_empty(spark):
     assert truncation.score(spark.createDataFrame([], "rec_table string, ordinal long, source string, text string")).count() == 0
 
