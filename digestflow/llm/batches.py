@@ -72,16 +72,19 @@ def _normalise(site: re.Pattern[str] | None):
 
 @skip_empty
 def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Two keys for each title: what is left of it when the slot lies in its last or first half."""
+    """Keys for each title: what is left of it when the slot lies in its last or first half; for a Chinese term, at each length it may have."""
     for batch in batches:
         out = []
         for node, units in zip(batch["title_node"], batch["units"], strict=True):
             words = units.split(" ")
             if _HAN.search(units):
-                solid, foreign = "".join(words), "\x1f".join(w for w in words if not _HAN.match(w))
-                half = max(2, (len(solid) - MAX_TERM) // 2 - 1)
+                solid, middle = "".join(words), len(words) // 2
                 if len(solid) >= 8:
-                    out += [(_h("h", solid[:half]), node), (_h("h2", solid[-half:]), node), (_h("f", foreign, str(len(solid) // 64)), node) if foreign else (_h("h", solid[:half]), node)]
+                    # two titles have the same rest beside their terms, whatever the terms' lengths; half of it lies on one side
+                    for half in {(len(solid) - term + 1) // 2 for term in range(1, MAX_TERM + 1)}:
+                        out += [(_h("h", solid[:half]), node), (_h("h2", solid[-half:]), node)]
+                    if len(words) > 1:
+                        out += [(_h("e1", str(len(words)), *words[:middle]), node), (_h("e2", str(len(words)), *words[middle:]), node)]
             elif len(words) >= 4:
                 half = len(words) // 2
                 out += [(_h("e1", str(len(words)), *words[:half]), node), (_h("e2", str(len(words)), *words[half:]), node)]

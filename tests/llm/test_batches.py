@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pandas as pd
+
 from digestflow.llm import batches
 
 D = [dt.datetime(2025, 9, d, 10) for d in (15, 16, 17)]
@@ -43,6 +45,23 @@ def test_chinese_terms(spark, items):
     assert known(spark, items, rows) == [1]
 
 
+def test_chinese_terms_of_other_length_without_latin_words(spark, items):
+    left, right = "克达科技今天上午宣布围绕", "客服系统和翻译器"
+    rows = [(left[-10:] + "提升" + right + "一", "https://a.example/1", D[0]), (left[-10:] + "全面降低" + right + "一", "https://a.example/2", D[1])]
+    assert [len(t) for t, _, _ in rows] == [21, 23] and known(spark, items, rows) == [1]
+
+
+def test_titles_that_share_a_slot_share_a_half():
+    han = [chr(0x4E00 + i) for i in range(400)]
+    for total in (10, 21, 40, 70):
+        for at in range(total):
+            for a in range(1, batches.MAX_TERM + 1):
+                for b in range(1, batches.MAX_TERM + 1):
+                    pair = ["".join([*han[:at], *han[100 + 100 * k : 100 + 100 * k + n], *han[at:total]]) for k, n in enumerate((a, b))]
+                    keys = next(batches._halves(iter([pd.DataFrame({"title_node": [1, 2], "units": pair})])))
+                    assert keys.groupby("half").title_node.nunique().max() == 2
+
+
 def test_history_chains_and_own_batch(spark, items):
     rows = [("Quiet title of one story", "https://a.example/1", D[1]), ("Another headline for that page", "https://a.example/1", D[1]), ("Same batch only story here", "https://a.example/8", D[2]), ("Same batch only story here", "https://a.example/9", D[2])]
     assert known(spark, items, rows) == []
