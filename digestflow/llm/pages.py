@@ -1,15 +1,21 @@
-"""Main body of each page by a site style tree.
-
-Every summary is a page whose lines are its nodes. A line gets a presentation style (paragraph, list item, label, separated
-list, capitalised words, numbered link, consent notice, mark, plain text) and content features below it: the label, the words of a
-menu, the text with one slot left open. The pages of all hosts are merged into one tree with the host's own name replaced, and
-each feature's importance is one minus the entropy of its spread over the m pages that show its style, 1 - ln(c) / ln(m) for a
-feature on c pages. Branches below the importance threshold are removed: navigation, notices, related links, footers and stray
-prompts. Pages are told apart by the story they carry (the longest name in the title), so copies of one story count once.
-Lines repeated within a source (lines.py) are removed first. Closing lines (tags, link to the notes, desk signature, part
-number) and list items belong to the main body.
-
-Null and empty summaries have an empty body. Two passes: one gathers feature counts, one marks lines; no text is shuffled.
+"""Main body of each page by site style trees.
+
+Every summary is a page and its lines are the element nodes below the page's root. A line has a presentation style told from its shape
+alone (item, numbered, heading before numbered lines, label, menu of short phrases, prose) and content below it: the label, the phrases or words of a
+menu, the sentences of prose with one slot left open in short ones. The pages of one host are merged into that host's tree, and the trees of
+all hosts into one forest with each host's own name replaced.
+
+* Content importance of a leaf: one minus the entropy of its spread over the m pages that show its style, 1 - ln(c) / ln(m) for a leaf on
+  c pages. A host's own tree decides where the leaf stands on at least FLOOR pages of it, the forest as well; the lesser importance counts.
+* Presentation importance of a style node: the entropy of its shapes (numbers of phrases, lengths of sentences) to base m: prose takes
+  nearly as many shapes as it has lines, a list of links takes few.
+* Composite importance of a line: both, weighted by GAMMA. A branch is removed if it and all leaves below it (in a menu their mean) are below the threshold.
+
+Pages are told apart by the story they carry (the longest name in the title), so copies of one story count once. Two things are fixed by the
+problem's statement and not left to importance: lines repeated within a source (lines.py) are outside the main body, and list
+items and closing lines (tags, link to the notes, desk signature, part number) belong to it.
+
+Null and empty summaries have an empty body. Two passes: one gathers counts, one marks lines; no text is shuffled.
 """
 
 from __future__ import annotations
@@ -27,25 +33,30 @@ from digestflow.llm import lines
 from digestflow.llm.base import skip_empty
 from digestflow.session import cut
 
-IMPORTANCE = 0.85
-LONG = 200
-MAX_BROADCAST_FEATURES = 1_000_000
+IMPORTANCE, GAMMA = 0.82, 0.9
+FLOOR = 6
+LONG, PLAIN = 200, 60
+PHRASE, HAN_PHRASE = 42, 7
+MAX_BROADCAST_FEATURES = 300_000
 
 _TERMINAL = re.compile(r"[.!?。！？][\"'”’」』)）»]*\s*\Z")
 _ITEM = re.compile(r"^\s*[-–]\s+\S")
 _NUMBERED = re.compile(r"^\s*\d+[.、)]\s*\S")
 _LABEL = re.compile(r"^\W*([^\W_](?:[^:：。！？!?]{0,34}[^\s:：。！？!?])?)\s?[:：](?!//)\s*\S")
-_MARK = re.compile(r"©|\ball rights reserved\b|版权所有|备案号", re.I)
-_CONSENT = re.compile(r"\bcookies?\b|cookie|隐私", re.I)
+# Fixed by the problem's statement: closing lines that are main body.
 _CLOSING = re.compile(
     r"^\s*(?:tags?|topics?|keywords?|标签|关键词)\s*[:：]|^\s*(?:full notes|全文|详情见|完整说明)\s*[:：]?\s*https?:|^\s*[—–-]{1,2}\s*(?:the\s.{1,60}\sdesk|.{1,30}编辑部)\s*$|[(（](?:part|第)\s*\d+\s*(?:部分|篇|期|章|节)?[)）]\s*$",
     re.I,
 )
-_SEPARATORS = re.compile(r"\s*[|·>/»•]\s*|\s{2,}|\s*　\s*")
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
+_PHRASE_END = re.compile(r"\s*[|·>/»•,、]\s*|\s{2,}|\s*　\s*|(?<=[.!?])\s+|(?<=[。！？])")
+_HAN_PHRASE_END = re.compile(_PHRASE_END.pattern + r"|\s")
 _WORDS = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
+_LETTER = re.compile(r"[^\W_]")
+_DIGITS = re.compile(r"\d+")
+_BREAKS = re.compile(r"[\W_]+")
 _NAME = re.compile(r"[A-Z][^\W\d_]{4,}")
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
-_SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
 _DAY = re.compile(r"\b(?:mon|tue|wed|thu|fri|sat|sun)(?:s|nes|rs|ur)?(?:day)?\b|(?<=周)[一二三四五六日天]")
 
 
@@ -68,44 +79,56 @@ def _story(title: str | None) -> int:
     return _hash(max(names, key=len).lower() if names else "")
 
 
-def _features(line: str, following: str | None, site: str) -> tuple[str, list[str]]:
-    """Style of a line and its content features; style `para` has none and is always kept."""
-    if len(line) > LONG:
-        return ("para", []) if _TERMINAL.search(line.rstrip()[-6:]) else ("text", [line.lower()])
-    if _CLOSING.search(line) or _ITEM.match(line):
-        return "para", []
-    if _MARK.search(line):
-        return "mark", [m.lower() for m in _MARK.findall(line)]
+def _plain(text: str, site: str) -> str:
+    """Words in lower case with numbers, weekdays and the host's own name replaced."""
+    text = _BREAKS.sub(" ", _DIGITS.sub("9", text.lower())).strip()
+    return _DAY.sub("9", text.replace(site, "@") if site else text)
+
+
+def _templates(text: str, han: bool) -> list[str]:
+    """A short sentence and its forms with one slot open."""
+    if han:
+        return [text] if len(text) > 18 else [text, f"{text[:2]}*{text[-6:]}"]
+    words = text.split()
+    return [text, *(" ".join([*words[:i], "*", *words[i + 1 :]]) for i in range(len(words) - 1))] if 4 < len(words) <= 10 else [text]
+
+
+def _node(line: str, following: str | None, site: str) -> tuple[str, str, list[list[str]]]:
+    """(style, shape, leaves) of a line; each leaf is given by its content features, of which the least important counts. Items and closing lines have no leaves."""
+    text = line.strip()
+    if is_item(line) or is_closing(line):
+        return "kept", "", []
     if _NUMBERED.match(line):
-        return "numbered", ["9."]
-    terminal = _TERMINAL.search(line.rstrip()[-6:]) is not None
-    if terminal and (len(line) > 90 or len(_WORDS.findall(line)) > 6 or (_HAN.search(line) and len(line) > 12)):
-        return "para", []
-    if not terminal:
-        if following is not None and _NUMBERED.match(following):
-            return "heading", ["9."]
-        if _CONSENT.search(line) and len(line) < 160:
-            return "consent", [_SENTENCE_END.split(line.strip().lower())[-1]]
-        label = _LABEL.match(line)
-        if label:
-            return "label", [re.sub(r"\d+", "9", label[1].lower())]
-        parts = [p for p in _SEPARATORS.split(line.strip()) if p]
-        words = _WORDS.findall(line)
+        return "numbered", str(text.count(" ")), [["9."]]
+    terminal = _TERMINAL.search(text[-6:]) is not None
+    if len(line) <= LONG:
         han = _HAN.search(line) is not None
-        if han and len(parts) < 2:
-            parts = line.split()
-        if len(parts) >= 2 and all(len(p) <= (6 if han else 24) for p in parts):
-            return "menu", [p.lower() for p in parts]
-        if 2 <= len(words) <= 14 and not han and all(w[0].isupper() for w in words) and not re.search(r"[^\w\s'’-]", line.strip()):
-            return "menu", [w.lower() for w in words]
-    text = re.sub(r"[\W_]+", " ", re.sub(r"\d+", "9", line.lower())).strip()
-    text = _DAY.sub("9", text.replace(site, "@") if site else text)
-    words = text.split()
-    if _HAN.search(line):
-        return "text", [text] if len(text) > 18 else [text, f"{text[:2]}*{text[-6:]}"]
-    if not 1 < len(words) <= 10:
-        return "text", [text]
-    return "text", [text, *(" ".join([*words[:i], "*", *words[i + 1 :]]) for i in range(len(words) - 1) if len(words) > 4)]
+        if not terminal:
+            if following is not None and _NUMBERED.match(following):
+                return "heading", str(text.count(" ")), [["9."]]
+            if label := _LABEL.match(line):
+                return "label", str(text.count(" ")), [[_DIGITS.sub("9", label[1].lower())]]
+        phrases = [p for p in (_HAN_PHRASE_END if han else _PHRASE_END).split(_DIGITS.sub("9", text)) if _LETTER.search(p)]
+        if len(phrases) >= 2 and (not terminal or len(phrases) >= 3) and all(len(p) <= (HAN_PHRASE if han else PHRASE) for p in phrases):
+            words = [_plain(p, site) for p in phrases] if han else _plain(text, site).split()
+            return "menu", str(len(phrases)), [[w] for w in words]
+        words = _WORDS.findall(line)
+        if not terminal and not han and 2 <= len(words) <= 14 and all(w[0].isupper() for w in words) and not re.search(r"[^\w\s'’-]", text):
+            return "menu", str(len(words)), [[w.lower()] for w in words]
+    sentences = [s for s in _SENTENCE_END.split(text) if s]
+    shape = " ".join([str(len(s) >> 3) for s in sentences])
+    if len(line) > LONG or (terminal and len(line) > PLAIN):
+        leaves = [[s.lower() if len(s) > PLAIN else _plain(s, site)] for s in sentences]
+    elif len(sentences) == 1:
+        whole = terminal and (len(text) > 12 if han else len(words) > 6)
+        leaves = [[_plain(text, site)] if whole else _templates(_plain(text, site), han)]
+    else:
+        leaves = [[_plain(s, site)] for s in sentences]
+        if not terminal and following is not None:
+            # an open line inside a page: a notice with its button; only the notice's first words are always the same
+            head = leaves[0][0][:4] if han else " ".join(leaves[0][0].split()[:3])
+            leaves[0].append(f"{head} *")
+    return "prose", shape, leaves
 
 
 def _site(name: str | None) -> str:
@@ -148,67 +171,79 @@ def _walk(summary: str | None) -> Iterator[tuple[int, str, str | None]]:
 
 @skip_empty
 def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (style, feature, story, n): a content feature on the page of a story; a line (style `line`) of a source in n documents; a source (style `size`) of n documents."""
+    """Rows (style, feature, host, story, n): a leaf on the page of a story; a shape (`~style`) n times; a line (`line`) of a host in n documents; a host (`size`) of n documents."""
     for batch in batches:
-        seen: set[tuple[str, int, int]] = set()
-        held: dict[tuple[str, int, int], int] = {}
+        seen: set[tuple[str, int, int, int]] = set()
+        held: dict[tuple[str, int, int, int], int] = {}
         for source, title, summary, site, counted in zip(batch["source"], batch["title"], batch["summary"], batch["_site"], batch["counted"], strict=True):
-            story, site = None, _site(site)
+            story, site, host = _story(title), _site(site), _hash("source", source or "")
             keys = set()
             for _, line, following in _walk(summary):
                 keys.add(_line_key(source, line))
-                style, features = _features(line, following, site)
-                if features:
-                    story = _story(title) if story is None else story
-                    seen.update((style, _hash(style, f), story) for f in features)
+                style, shape, leaves = _node(line, following, site)
+                if leaves:
+                    seen.update((style, _hash(style, f), host, story) for leaf in leaves for f in leaf)
+                    row = (f"~{style}", _hash(shape), 0, 0)
+                    held[row] = held.get(row, 0) + 1
             if counted:
-                host = _hash("source", source or "")
                 keys.discard(None)
-                for row in [("size", host, host), *(("line", k, host) for k in keys)]:
+                for row in [("size", host, host, 0), *(("line", k, host, 0) for k in keys)]:
                     held[row] = held.get(row, 0) + 1
         rows = [(*k, 1) for k in seen] + [(*k, n) for k, n in held.items()]
-        yield pd.DataFrame(rows, columns=["style", "feature", "story", "n"]).astype({"feature": "int64", "story": "int64", "n": "int64"})
+        yield pd.DataFrame(rows, columns=["style", "feature", "host", "story", "n"]).astype({"feature": "int64", "host": "int64", "story": "int64", "n": "int64"})
 
 
-def style_tree(prepared: DataFrame, min_rows: int = lines.MIN_ROWS, min_share: float = lines.MIN_SHARE) -> DataFrame:
-    """(style, feature, importance): the leaves of the merged tree; a line repeated within its source has importance 0."""
-    counted = prepared.select("source", "title", "summary", "_site", "counted").mapInPandas(_count_features, "style string, feature long, story long, n long")
-    spread = cut(counted.groupBy("style", "feature", "story").agg(F.sum("n").alias("n")), "features")
-    content = spread.where(~F.col("style").isin("line", "size"))
-    leaves = content.groupBy("style", "feature").agg(F.count("*").alias("pages"))
-    styles = content.select("style", "story").distinct().groupBy("style").agg(F.count("*").alias("all_pages"))
-    importance = F.lit(1.0) - F.log("pages") / F.log(F.greatest(F.col("all_pages"), F.lit(2)))
-    tree = leaves.join(F.broadcast(styles), "style").select("style", "feature", importance.alias("importance"))  # at most ten styles
-    sizes = spread.where("style = 'size'").select("story", F.col("n").alias("rows"))
-    repeated = spread.where((F.col("style") == "line") & (F.col("n") >= min_rows)).join(sizes, "story").where(F.col("n") >= F.lit(min_share) * F.col("rows"))
-    return tree.unionByName(repeated.select("style", "feature", F.lit(0.0).alias("importance")))
+def _own_key(feature: int, host: int) -> int:
+    """Key of a leaf in its host's own tree; SQL has the same below."""
+    return feature ^ (host >> 1)
 
 
-def _is_noise(style: str, features: list[str], noise: frozenset) -> bool:
-    if style in ("mark", "numbered", "heading"):
-        return True
-    hits = sum(_hash(style, f) in noise for f in features)
-    return hits > 0 and hits * 2 >= len(features) if style == "menu" else hits > 0
-
-
-def _mark(noise_of: object):
+def style_tree(prepared: DataFrame, min_rows: int = lines.MIN_ROWS, min_share: float = lines.MIN_SHARE) -> DataFrame:
+    """(style, key, importance) of the nodes of all trees: leaves of the forest, leaves of hosts, styles; a line repeated within its source has importance 0."""
+    counted = prepared.select("source", "title", "summary", "_site", "counted").mapInPandas(_count_features, "style string, feature long, host long, story long, n long")
+    spread = cut(counted.groupBy("style", "feature", "host", "story").agg(F.sum("n").alias("n")), "features")
+    content = spread.where(~F.col("style").isin("line", "size") & ~F.col("style").startswith("~"))
+    entropy = F.lit(1.0) - F.log("pages") / F.log(F.greatest(F.col("all_pages"), F.lit(2)))
+    leaves = content.select("style", "feature", "story").distinct().groupBy("style", "feature").agg(F.count("*").alias("pages")).where(F.col("pages") > F.when(F.col("style") == "prose", 2).otherwise(1))  # prose of two stories may be a copy
+    styles = content.select("style", "story").distinct().groupBy("style").agg(F.count("*").alias("all_pages"))
+    forest = leaves.join(F.broadcast(styles), "style").select("style", F.col("feature").alias("key"), entropy.alias("importance"))  # five styles
+    own = content.groupBy("style", "feature", "host").agg(F.count("*").alias("pages")).where(F.col("pages") >= FLOOR)
+    hosts = content.select("style", "host", "story").distinct().groupBy("style", "host").agg(F.count("*").alias("all_pages"))
+    trees = own.join(hosts, ["style", "host"]).select("style", F.col("feature").bitwiseXOR(F.shiftright("host", 1)).alias("key"), entropy.alias("importance"))
+    shapes = spread.where(F.col("style").startswith("~")).groupBy("style").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
+    presented = shapes.select("style", F.xxhash64("style").alias("key"), ((F.log("m") - F.col("s") / F.col("m")) / F.log(F.greatest(F.col("m"), F.lit(2)))).alias("importance"))
+    sizes = spread.where("style = 'size'").select("host", F.col("n").alias("rows"))
+    repeated = spread.where((F.col("style") == "line") & (F.col("n") >= min_rows)).join(sizes, "host").where(F.col("n") >= F.lit(min_share) * F.col("rows"))
+    return forest.unionByName(trees).unionByName(presented).unionByName(repeated.select("style", F.col("feature").alias("key"), F.lit(0.0).alias("importance")))
+
+
+def _is_noise(style: str, leaves: list[list[str]], host: int, known: dict[int, float], presented: dict[str, float], threshold: float) -> bool:
+    """Whether a line and everything below it is of low importance."""
+    values = []
+    for leaf in leaves:
+        keys = [_hash(style, f) for f in leaf]
+        values.append(min(min(known.get(k, 1.0), known.get(_own_key(k, host), 1.0)) for k in keys))
+    content = sum(values) / len(values) if style == "menu" else max(values)
+    return (1.0 - GAMMA) * presented.get(style, 1.0) + GAMMA * content < threshold
+
+
+def _mark(shared: object, presented: dict[str, float], threshold: float):
     """Function for mapInPandas adding `dropped` (line numbers) and `body` to each record."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shared = frozenset(noise_of.value.tolist()) if noise_of is not None else None
+        known = dict(zip(*(a.tolist() for a in shared.value), strict=True)) if shared is not None else None
         for batch in batches:
-            own = [None] * len(batch) if shared is not None else batch["_noise"]
+            own = [known] * len(batch) if known is not None else ({f["key"]: f["importance"] for f in row} for row in batch["_known"])
             dropped, bodies = [], []
             for source, summary, site, mine in zip(batch["source"], batch["summary"], batch["_site"], own, strict=True):
-                noise = shared if shared is not None else frozenset(mine)
                 bad = set()
-                site = _site(site)
+                site, host = _site(site), _hash("source", source or "")
                 for number, line, following in _walk(summary):
-                    if _line_key(source, line) in noise:
+                    if _line_key(source, line) in mine:
                         bad.add(number)
                         continue
-                    style, features = _features(line, following, site)
-                    if features and _is_noise(style, features, noise):
+                    style, _, leaves = _node(line, following, site)
+                    if leaves and _is_noise(style, leaves, host, mine, presented, threshold):
                         bad.add(number)
                 dropped.append(sorted(bad))
                 bodies.append("\n".join(r for n, r in enumerate(summary.split("\n"), 1) if n not in bad) if bad else summary or "")
@@ -224,11 +259,13 @@ def _own_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for ordinal, source, summary, site in zip(batch["ordinal"], batch["source"], batch["summary"], batch["_site"], strict=True):
-            site = _site(site)
+            site, host = _site(site), _hash("source", source or "")
             own = {_line_key(source, line) for _, line, _ in _walk(summary)} - {None}
-            own |= {_hash(style, f) for _, line, following in _walk(summary) for style, features in [_features(line, following, site)] for f in features}
+            for _, line, following in _walk(summary):
+                style, _, leaves = _node(line, following, site)
+                own.update(k for leaf in leaves for f in leaf for h in [_hash(style, f)] for k in (h, _own_key(h, host)))
             out += [(ordinal, f) for f in own]
-        yield pd.DataFrame(out, columns=["_o", "feature"]).astype({"_o": "int64", "feature": "int64"})
+        yield pd.DataFrame(out, columns=["_o", "key"]).astype({"_o": "int64", "key": "int64"})
 
 
 def main_bodies(records: DataFrame, sources: DataFrame | None = None, counted: Column | None = None, importance: float = IMPORTANCE, broadcast_limit: int = MAX_BROADCAST_FEATURES) -> DataFrame:
@@ -238,15 +275,18 @@ def main_bodies(records: DataFrame, sources: DataFrame | None = None, counted: C
     """
     told = records.where("ordinal is not null").select("ordinal", "source", "title", "summary", (F.lit(True) if counted is None else counted).alias("counted"))
     prepared = _prepare(told, sources)
-    leaves = style_tree(prepared).where(F.col("importance") < importance).select("feature").distinct()
-    rows = leaves.limit(broadcast_limit + 1).toPandas()["feature"].to_numpy(dtype="int64")
+    tree = cut(style_tree(prepared), "tree")
+    presented = {style[1:]: value for style, value in tree.where(F.col("style").startswith("~")).select("style", "importance").collect()}  # five styles
+    # a leaf that cannot bring its line below the threshold need not be known
+    low = tree.where(~F.col("style").startswith("~") & (F.col("importance") < importance / GAMMA)).groupBy("key").agg(F.min("importance").alias("importance"))
+    rows = low.limit(broadcast_limit + 1).toPandas()
     schema = "ordinal long, source string, title string, summary string, dropped array<int>, body string"
     if len(rows) <= broadcast_limit:
-        shared = records.sparkSession.sparkContext.broadcast(rows)
-        return prepared.mapInPandas(_mark(shared), schema)
-    own = prepared.mapInPandas(_own_features, "_o long, feature long").join(leaves, "feature", "left_semi").groupBy("_o").agg(F.collect_list("feature").alias("_noise"))
-    joined = prepared.join(own, F.col("ordinal") == F.col("_o"), "left").drop("_o").withColumn("_noise", F.coalesce("_noise", F.expr("array()").cast("array<bigint>")))
-    return joined.mapInPandas(_mark(None), schema)
+        shared = records.sparkSession.sparkContext.broadcast((rows["key"].to_numpy(dtype="int64"), rows["importance"].to_numpy(dtype="float64")))
+        return prepared.mapInPandas(_mark(shared, presented, importance), schema)
+    own = prepared.mapInPandas(_own_features, "_o long, key long").join(low, "key").groupBy("_o").agg(F.collect_list(F.struct("key", "importance")).alias("_known"))
+    joined = prepared.join(own, F.col("ordinal") == F.col("_o"), "left").drop("_o").withColumn("_known", F.coalesce("_known", F.expr("array()").cast("array<struct<key: bigint, importance: double>>")))
+    return joined.mapInPandas(_mark(None, presented, importance), schema)
 
 
 def removed_lines(records: DataFrame, sources: DataFrame | None = None) -> DataFrame:

@@ -73,6 +73,15 @@ def test_empty_table_and_long_text(items):
     assert len(got.body) == 1_000_000 and not got.dropped
 
 
-@pytest.mark.parametrize(("line", "style"), [("© 2026 Lumen", "mark"), ("1. Some link title", "numbered"), ("- item of a list", "para"), ("Tags: a, b", "para"), ("See also: Other story", "label"), ("Home Docs Blog", "menu"), ("The router moves.", "text")])
+@pytest.mark.parametrize(("line", "style"), [("© 2026 Lumen | Docs | Imprint", "menu"), ("1. Some link title", "numbered"), ("- item of a list", "kept"), ("Tags: a, b", "kept"), ("See also: Other story", "label"), ("Home Docs Blog", "menu"), ("The router moves.", "prose")])
 def test_styles(line, style):
-    assert pages._features(line, None, "")[0] == style
+    assert pages._node(line, None, "")[0] == style
+
+
+def test_importance_decides_and_not_words(items):
+    """A notice no list knows goes once many pages of different stories hold it; the same line on one page stays."""
+    body = "The %s module moves %d records before the next review of the depot, which the team had asked for."
+    rows = [(i, f"s{i % 40}", f"Story Name{chr(97 + i // 26)}{chr(97 + i % 26)}x tells", f"Blorp the fizzing widget now\n{body % ('abcdefgh'[i % 8] * 3, i)}") for i in range(120)]
+    rows.append((999, "s1", "Story Single tells", "Quax the dozing gadget here\n" + body % ("solo", 7)))
+    got = {r.ordinal: list(r.dropped) for r in pages.main_bodies(items(rows)).collect()}
+    assert all(got[i] == [1] for i in range(120)) and got[999] == []
