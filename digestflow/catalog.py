@@ -48,7 +48,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = table(spark, sf_dir, "sources")
     records = timestamps.timestamp_records(table(spark, sf_dir, "raw_items"), table(spark, sf_dir, "source_refs"))
-    return timestamps.estimate_zones(timestamps.parse_instants(records, sources), sources)
+    return timestamps.zone_agreement(timestamps.parse_instants(records, sources), sources)
 
 
 @register("url_canonical", f"SELECT ordinal, {urls.canonical_url_sql('url')} AS page FROM raw_items")

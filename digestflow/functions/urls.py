@@ -71,3 +71,13 @@ def allowed_fetch(url: Column) -> Column:
     host = url_host(url)
     private = r"^(localhost|.*\.localhost|.*\.local|0\..*|10\..*|127\..*|169\.254\..*|192\.168\..*|172\.(1[6-9]|2\d|3[01])\..*|100\.(6[4-9]|[7-9]\d|1[01]\d|12[0-7])\..*|22[4-9]\..*|2[3-5]\d\..*)$"
     return F.coalesce(F.lower(text).startswith("https://") & ~text.rlike(r"^[^/]*//[^/?#]*@") & (host != "") & ~host.rlike(private), F.lit(False))
+
+
+def origin(url: Column) -> Column:
+    """Scheme, host and port of a URL, the scheme's own port where none is given; null without scheme or host."""
+    text = F.trim(url)
+    scheme = F.lower(F.regexp_extract(text, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    host = F.lower(F.regexp_extract(text, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#@:]+)", 1))
+    port = F.regexp_extract(text, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?[^/?#@:]+:([0-9]+)", 1)
+    given = F.when(port != "", port).when(scheme == "https", "443").when(scheme == "http", "80").otherwise("")
+    return F.when((scheme != "") & (host != ""), F.concat_ws("|", scheme, host, given))

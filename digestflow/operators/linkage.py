@@ -28,11 +28,14 @@ def similar_pairs(items: DataFrame, window_hours: int = WINDOW_HOURS) -> DataFra
     """(a, b, common, jaccard): items within the window that share an identifier, or enough tokens unless both are releases of one source."""
     rows = cut(tokenised(items), "tokenised")
     window = window_hours * HOURS
-    packed = cut(setjoin.blocks(rows.select("ordinal", "at", "tokens"), window), "blocks")
-    by_tokens = setjoin.self_candidates(packed, JACCARD, CONTAINMENT, window)
-    named = rows.select("ordinal", "at", F.explode("ids").alias("id"))
-    by_id = named.alias("x").join(named.alias("y"), (F.col("x.id") == F.col("y.id")) & (F.col("x.ordinal") < F.col("y.ordinal")) & (F.abs(F.col("x.at") - F.col("y.at")) <= F.lit(window).cast("long")))
-    pairs = by_tokens.unionByName(by_id.select(F.col("x.ordinal").alias("a"), F.col("y.ordinal").alias("b"))).distinct()
+    by_tokens = setjoin.self_candidates(rows.select("ordinal", "at", "tokens"), JACCARD, CONTAINMENT, window)
+    # identifiers meet by id and time bucket, so one id of many years is no hot key
+    bucket = F.floor(F.col("at") / F.lit(window).cast("long"))
+    named = rows.select("ordinal", "at", F.explode("ids").alias("id"), bucket.alias("w"))
+    guests = named.withColumn("w", F.explode(F.array(F.col("w"), F.col("w") + 1))).alias("x")
+    by_id = guests.join(named.alias("y"), (F.col("x.id") == F.col("y.id")) & (F.col("x.w") == F.col("y.w")) & (F.col("x.ordinal") != F.col("y.ordinal")) & (F.abs(F.col("x.at") - F.col("y.at")) <= F.lit(window).cast("long")))
+    by_id = by_id.select(F.least("x.ordinal", "y.ordinal").alias("a"), F.greatest("x.ordinal", "y.ordinal").alias("b"))
+    pairs = by_tokens.unionByName(by_id).distinct()
     side = lambda s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("ordinal", "source", "source_channel", "ids", "tokens")])
     full = pairs.join(side("a"), F.col("a") == F.col("ordinal_a")).join(side("b"), F.col("b") == F.col("ordinal_b"))
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))

@@ -75,7 +75,7 @@ def event_scores_sql() -> str:
 def told_before(events: DataFrame, history_urls: DataFrame, history_titles: DataFrame) -> DataFrame:
     """(event_id, by_page, by_title): events whose page or title stands in the history.
 
-    Titles match with equal product ids and enough common tokens. Candidates come from the lossless bitmap bound.
+    Titles match with equal product ids and enough common tokens. Candidates meet under equal product ids and a rare common token.
     """
     past = history_urls.select(urls.canonical_url(F.col("url")).alias("page")).distinct().withColumn("_page", F.lit(True))
     by_page = events.select("event_id", urls.canonical_url(F.col("canonical_url")).alias("page")).join(past, "page").select("event_id").distinct()
@@ -85,7 +85,8 @@ def told_before(events: DataFrame, history_urls: DataFrame, history_titles: Data
 
     now = prepared(events.select(F.col("event_id").alias("key"), "title"), "e")
     old = prepared(history_titles.where("title is not null").select(F.col("title").alias("key"), "title").distinct(), "h")
-    found = setjoin.cross_candidates(setjoin.blocks(now, HOURS), setjoin.blocks(old, HOURS), HISTORY_JACCARD, HISTORY_CONTAINMENT, HOURS)
+    ready = lambda df: df.select("ordinal", "at", "tokens", F.col("products").alias("group"))
+    found = setjoin.cross_candidates(ready(now), ready(old), HISTORY_JACCARD, HISTORY_CONTAINMENT)
     side = lambda df, s: df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("ordinal", "key", "tokens", "products")])
     pairs = found.join(side(now, "a"), F.col("a") == F.col("ordinal_a")).join(side(old, "b"), F.col("b") == F.col("ordinal_b"))
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))

@@ -102,6 +102,17 @@ def test_html():
     assert html.page_date_of("<main><time datetime='2024-02-03T00:00:00Z'></time></main>").date().isoformat() == "2024-02-03" and html.page_date_of("<p>none</p>") is None
 
 
+def test_dates_and_clocks_apart():
+    page = "<div class='post-date'>2026-08-13</div><span class='time'>13:10:50</span><div class='date'>2020-01-01</div>"
+    assert html.page_date_of(page).isoformat() == "2026-08-13T13:10:50+00:00" and html.page_date_of(page, "Asia/Shanghai").isoformat() == "2026-08-13T05:10:50+00:00"
+    assert html.page_date_of("<article><h1>x</h1><p>Sept. 3 and 2024-05-06 07:08:09, later May 5, 2024</p></article>").isoformat() == "2024-05-05T00:00:00+00:00"
+    assert html.date_in_text("2024-13-40 or Foo 3, 2024") is None
+    broken = "<div class='entry'><p>kept<div>also</p></span></div></div></p><nav>no</nav>"
+    assert html.article_text_of(broken) == "kept also" and html.summary_of(None)["published"] is None
+    nested = '<script type="application/ld+json">{"a": [{"@type": ["Thing", "Report"], "datePublished": "2024-01-02"}]}</script><script type="application/ld+json">{bad</script>'
+    assert html.page_date_of(nested).date().isoformat() == "2024-01-02"
+
+
 RSS = "<rss><channel><item><title>One &amp; two</title><link>/p/1</link><description>&lt;p&gt;Body&lt;/p&gt;</description><pubDate>Mon, 15 Sep 2025 07:37:55 +0200</pubDate></item><item><title>No link</title></item></channel></rss>"
 
 
@@ -114,7 +125,7 @@ def test_readers_and_health(spark):
     read = feeds.read_payloads(spark.createDataFrame(payloads, "source string, kind string, url string, body string"))
     rows = {(r.source, r.place): r for r in read.where("error is null").collect()}
     assert set(rows) == {("a", 1), ("c", 1), ("d", 1), ("e", 1), ("h", 1)}
-    assert rows["a", 1].url == "https://a.example/p/1" and rows["a", 1].summary == "Body" and rows["c", 1].metrics["score"] == "120" and rows["h", 1].title == "n/k"
+    assert rows["a", 1].url == "https://a.example/p/1" and rows["a", 1].summary == "Body" and rows["c", 1].metrics["score"] == "120" and rows["h", 1].title == "k"
     sources = spark.createDataFrame([(s,) for s in "abcz"], "source string")
     assert {r.source: r.status for r in feeds.health(read, sources).collect()} == {"a": "ok", "b": "failed", "c": "ok", "z": "disabled"}
 
@@ -137,3 +148,20 @@ def test_upsert_keeps_the_best_row(spark, tmp_path):
         stream = spark.readStream.schema("day string, rank int, text string").parquet(str(tmp_path / "in"))
         facades.upsert_best(stream, str(tmp_path / "out"), "day", "rank").awaitTermination()
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out/current")).collect()) == [("d1", 2, "z"), ("d2", 1, "y")]
+
+
+def test_pages_fill_dates_and_index_articles(spark):
+    sources = spark.createDataFrame([("a", "https://a.example/feed", "A News", None, None, 1, "news", "global"), ("e", "https://e.example/", "E", None, "/x", None, "news", "china"), ("n", "https://n.example/", "N", None, None, None, "news", "global")], "source string, url string, display_name string, namespace string, link_pattern string, item_limit int, source_channel string, source_region string")
+    feed = "<rss><channel><item><title>One</title><link>/p/1</link></item><item><title>Two</title><link>/p/2</link></item></channel></rss>"
+    payloads = [("a", "rss", "https://a.example/feed", feed, 200), ("e", "html_index", "https://e.example/", '<a href="/x1">First</a><a href="/y">no</a><a href="/x2">March 5, 2024</a>', 200), ("n", "rss", "https://n.example/", None, 304)]
+    read = feeds.read_payloads(spark.createDataFrame(payloads, "source string, kind string, url string, body string, http_status int"), sources)
+    assert read.where("source = 'a'").count() == 1 and read.where("source = 'e'").count() == 2
+    pages = spark.createDataFrame([("https://a.example/p/1", "<main><time datetime='2024-02-03T00:00:00Z'></time></main>"), ("https://e.example/x1", "<title>T</title><meta property='og:description' content='D &amp; d'><span class='date'>2024-01-02</span><span class='time'>08:00:00</span>")], "url string, body string")
+    dated = feeds.fill_dates(read.where("source = 'a'"), pages, sources).first()
+    assert dated.published_at == "2024-02-03T00:00:00Z" and dated.error is None
+    articles = {r.url: r for r in feeds.index_articles(read.where("source = 'e'"), pages, sources).collect()}
+    first, second = articles["https://e.example/x1"], articles["https://e.example/x2"]
+    assert (first.title, first.summary, first.published_at) == ("T", "D & d", "2024-01-02T00:00:00Z")
+    assert second.error == "PageMissing" and second.published_at == "2024-03-04T16:00:00Z"
+    whole = feeds.fill_dates(read.where("source = 'a'"), pages.limit(0), sources).unionByName(read.where("source <> 'a'"))
+    assert {r.source: r.status for r in feeds.health(whole, sources).collect()} == {"a": "failed", "e": "failed", "n": "not_modified"}

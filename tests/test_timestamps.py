@@ -73,6 +73,25 @@ def test_zone_is_estimated_from_ingestion_times(spark):
         rows.append(("raw_items", i, "mute", local.strftime("%Y-%m-%d %H:%M:%S"), seen))
     df = spark.createDataFrame(rows, "rec_table string, ordinal long, source string, published_at string, discovered_at timestamp")
     sources = spark.createDataFrame([("mute", None, None)], "source string, source_tz string, date_order string")
-    zone = timestamps.estimate_zones(timestamps.parse_instants(df, sources), sources).first()
-    assert zone.zone == zone.estimated_tz == "America/New_York" and zone.violations == 0
+    parsed = timestamps.parse_instants(df, sources)
+    zone = timestamps.estimate_zones(parsed, ("UTC", "America/New_York", "America/Los_Angeles", "Asia/Tokyo")).first()
+    assert zone.estimated_tz == "America/New_York" and zone.violations == 0
+    # among all histories of the IANA database, the one found places every record as New York does
+    got = {r.ordinal: r.utc_us for r in timestamps.normalize_timestamps(df, sources).collect()}
+    assert all(got[r[1]] == at("America/New_York", *dt.datetime.fromisoformat(r[3]).timetuple()[:6]) for r in rows)
     assert timestamps.normalize_timestamps(df.limit(0), sources).count() == 0
+
+
+def test_written_offsets_tell_the_zone(spark):
+    """Few records suffice where a source writes its own offset: the hidden declared zone is found again."""
+    texts = ["Mon, 15 Sep 2025 10:00:00 +0530", "2025-12-01 08:00:00+05:30", "2025-12-02 09:00:00"]
+    df = spark.createDataFrame([("source_refs", i, "in", t, None) for i, t in enumerate(texts)], "rec_table string, ordinal long, source string, published_at string, discovered_at timestamp")
+    sources = spark.createDataFrame([("in", "Asia/Kolkata", "dmy"), ("other", "UTC", "dmy")], "source string, source_tz string, date_order string")
+    found = timestamps.zone_agreement(timestamps.parse_instants(df, sources), sources).collect()
+    assert [(r.source, r.agreement, r.violations) for r in found] == [("in", 1.0, 0)]
+    assert timestamps.zone_agreement(timestamps.parse_instants(df.limit(0), sources), sources).count() == 0
+
+
+def test_histories_are_distinct_and_many():
+    zones = timestamps.offset_histories()
+    assert len(zones) > 100 and "UTC" in zones and len(set(zones)) == len(zones)
