@@ -125,6 +125,11 @@ def p6_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _canonical(spark, sf_dir)
 
 
+@register("p6_decisions")
+def p6_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.decisions(lookalikes.text_records(table(spark, sf_dir, "raw_items"), table(spark, sf_dir, "claims")))
+
+
 def _bodies_and_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = pages.main_bodies(table(spark, sf_dir, "raw_items"), table(spark, sf_dir, "sources"))
     quotes = truncation.claim_sources(table(spark, sf_dir, "claims"), table(spark, sf_dir, "news_events"))
@@ -132,15 +137,24 @@ def _bodies_and_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.unionByName(quotes.select(F.lit("claims").alias("rec_table"), "ordinal", "source", F.col("quote").alias("text")))
 
 
+def _rows(spark: SparkSession, sf_dir: str) -> int:
+    return table(spark, sf_dir, "raw_items").count() + table(spark, sf_dir, "claims").count()  # from the files' footers
+
+
 @register("p7_found")
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.score(_bodies_and_quotes(spark, sf_dir)).where("truncated").select("rec_table", "ordinal")
+    return truncation.score(_bodies_and_quotes(spark, sf_dir), rows=_rows(spark, sf_dir)).where("truncated").select("rec_table", "ordinal")
 
 
 @register("p7_rates")
 def p7_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = cut(_bodies_and_quotes(spark, sf_dir), "texts")
-    return truncation.rates(truncation.score(texts), texts)
+    return truncation.rates(truncation.score(texts, rows=_rows(spark, sf_dir)), texts)
+
+
+@register("p7_agreement")
+def p7_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.agreement(truncation.score(_bodies_and_quotes(spark, sf_dir), rows=_rows(spark, sf_dir)))
 
 
 @register("p10_found")

@@ -2,7 +2,7 @@
 
 Every summary is a page and its lines are the element nodes below the page's root. A line has a presentation style told from its shape
 alone (item, numbered, heading before numbered lines, label, menu of short phrases, prose) and content below it: the label, the phrases or words of a
-menu, the sentences of prose with one slot left open in short ones. The pages of one host are merged into that host's tree, and the trees of
+menu, the sentences of a line of prose with one slot left open in short ones, a long paragraph as a whole. The pages of one host are merged into that host's tree, and the trees of
 all hosts into one forest with each host's own name replaced.
 
 * Content importance of a leaf: one minus the entropy of its spread over the m pages that show its style, 1 - ln(c) / ln(m) for a leaf on
@@ -96,28 +96,29 @@ def _templates(text: str, han: bool) -> list[str]:
 def _node(line: str, following: str | None, site: str) -> tuple[str, str, list[list[str]]]:
     """(style, shape, leaves) of a line; each leaf is given by its content features, of which the least important counts. Items and closing lines have no leaves."""
     text = line.strip()
+    if len(line) > LONG:
+        return "prose", str(len(text) >> 3), [[text.lower()]]
     if is_item(line) or is_closing(line):
         return "kept", "", []
     if _NUMBERED.match(line):
         return "numbered", str(text.count(" ")), [["9."]]
     terminal = _TERMINAL.search(text[-6:]) is not None
-    if len(line) <= LONG:
-        han = _HAN.search(line) is not None
-        if not terminal:
-            if following is not None and _NUMBERED.match(following):
-                return "heading", str(text.count(" ")), [["9."]]
-            if label := _LABEL.match(line):
-                return "label", str(text.count(" ")), [[_DIGITS.sub("9", label[1].lower())]]
-        phrases = [p for p in (_HAN_PHRASE_END if han else _PHRASE_END).split(_DIGITS.sub("9", text)) if _LETTER.search(p)]
-        if len(phrases) >= 2 and (not terminal or len(phrases) >= 3) and all(len(p) <= (HAN_PHRASE if han else PHRASE) for p in phrases):
-            words = [_plain(p, site) for p in phrases] if han else _plain(text, site).split()
-            return "menu", str(len(phrases)), [[w] for w in words]
-        words = _WORDS.findall(line)
-        if not terminal and not han and 2 <= len(words) <= 14 and all(w[0].isupper() for w in words) and not re.search(r"[^\w\s'’-]", text):
-            return "menu", str(len(words)), [[w.lower()] for w in words]
+    han = _HAN.search(line) is not None
+    if not terminal:
+        if following is not None and _NUMBERED.match(following):
+            return "heading", str(text.count(" ")), [["9."]]
+        if label := _LABEL.match(line):
+            return "label", str(text.count(" ")), [[_DIGITS.sub("9", label[1].lower())]]
+    phrases = [p for p in (_HAN_PHRASE_END if han else _PHRASE_END).split(_DIGITS.sub("9", text)) if _LETTER.search(p)]
+    if len(phrases) >= 2 and (not terminal or len(phrases) >= 3) and all(len(p) <= (HAN_PHRASE if han else PHRASE) for p in phrases):
+        words = [_plain(p, site) for p in phrases] if han else _plain(text, site).split()
+        return "menu", str(len(phrases)), [[w] for w in words]
+    words = _WORDS.findall(line)
+    if not terminal and not han and 2 <= len(words) <= 14 and all(w[0].isupper() for w in words) and not re.search(r"[^\w\s'’-]", text):
+        return "menu", str(len(words)), [[w.lower()] for w in words]
     sentences = [s for s in _SENTENCE_END.split(text) if s]
     shape = " ".join([str(len(s) >> 3) for s in sentences])
-    if len(line) > LONG or (terminal and len(line) > PLAIN):
+    if terminal and len(line) > PLAIN:
         leaves = [[s.lower() if len(s) > PLAIN else _plain(s, site)] for s in sentences]
     elif len(sentences) == 1:
         whole = terminal and (len(text) > 12 if han else len(words) > 6)
