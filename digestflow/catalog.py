@@ -16,6 +16,7 @@ from digestflow.session import table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+HEADLINE = ("p5_found", "similar_pairs", "story_events", "fresh_items", "probe_report", "told_before", "ranked_digest", "quote_support", "url_groups")
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -75,7 +76,7 @@ def own_host(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "allowed_fetches",
     f"""SELECT ordinal, lower(trim(url)) LIKE 'https://%' AND NOT regexp_matches(trim(url), '^[^/]*//[^/?#]*@') AND {urls.url_host_sql("url")} <> ''
-      AND NOT regexp_full_match({urls.url_host_sql("url")}, 'localhost|.*\\.localhost|.*\\.local|(0|10|127)\\..*|169\\.254\\..*|192\\.168\\..*') AS allowed FROM raw_items WHERE url IS NOT NULL""",
+      AND NOT regexp_full_match({urls.url_host_sql("url")}, 'localhost|.*\\.localhost|.*\\.local|(0|10|127)\\..*|169\\.254\\..*|192\\.168\\..*|172\\.(1[6-9]|2[0-9]|3[01])\\..*|100\\.(6[4-9]|[7-9][0-9]|1[01][0-9]|12[0-7])\\..*|(22[4-9]|2[3-5][0-9])\\..*') AS allowed FROM raw_items WHERE url IS NOT NULL""",
 )
 def allowed_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "raw_items").where("url is not null").select("ordinal", urls.allowed_fetch(F.col("url")).alias("allowed"))

@@ -61,6 +61,12 @@ def story_ids(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"(?i)(?:^|[^\p{L}\p{N}_])((?:CVE-\d{4}-\d+|GHSA-[a-z0-9-]+))(?![\p{L}\p{N}_])"), F.lit(1)), F.lower)))
 
 
+def story_ids_sql(text: str) -> str:
+    """The same without lookahead: the character behind may not be a letter, digit or underscore."""
+    found = f"regexp_extract_all({text} || ' ', '(?i)(?:^|[^\\p{{L}}\\p{{N}}_])((?:CVE-[0-9]{{4}}-[0-9]+|GHSA-[a-z0-9-]+))[^\\p{{L}}\\p{{N}}_]', 1)"
+    return f"list_sort(list_distinct(list_transform({found}, lambda i: lower(i))))"
+
+
 def normalize_quote(text: Column) -> Column:
     """No white space, full-width punctuation as half-width."""
     return F.translate(F.regexp_replace(text, f"[{QUOTE_SPACE}]+", ""), FULL_WIDTH, HALF_WIDTH)

@@ -47,13 +47,13 @@ def similar_pairs(items: DataFrame, window_hours: int = WINDOW_HOURS) -> DataFra
 
 def similar_pairs_sql() -> str:
     head = "coalesce(title, '') || ' ' || substr(coalesce(summary, ''), 1, 300)"
+    whole = "coalesce(title, '') || ' ' || substr(coalesce(summary, ''), 1, 1200)"
     return f"""WITH t AS ({typed_items_sql()}),
-      k AS (SELECT ordinal, source, source_channel, coalesce(published_us, discovered_us) AS at, {text.title_tokens_sql(head)} AS tokens FROM t),
-      p AS (SELECT x.ordinal AS a, y.ordinal AS b, len(list_intersect(x.tokens, y.tokens)) AS common, len(x.tokens) AS na, len(y.tokens) AS nb
-            FROM k x JOIN k y ON x.ordinal < y.ordinal AND y.at BETWEEN x.at - {WINDOW_HOURS * HOURS} AND x.at + {WINDOW_HOURS * HOURS}
-            WHERE NOT (x.source = y.source AND x.source_channel = 'release')),
+      k AS (SELECT ordinal, source, source_channel, coalesce(published_us, discovered_us) AS at, {text.title_tokens_sql(head)} AS tokens, {text.story_ids_sql(whole)} AS ids FROM t),
+      p AS (SELECT x.ordinal AS a, y.ordinal AS b, len(list_intersect(x.tokens, y.tokens)) AS common, len(x.tokens) AS na, len(y.tokens) AS nb, list_has_any(x.ids, y.ids) AS named, x.source = y.source AND x.source_channel = 'release' AS series
+            FROM k x JOIN k y ON x.ordinal < y.ordinal AND y.at BETWEEN x.at - {WINDOW_HOURS * HOURS} AND x.at + {WINDOW_HOURS * HOURS}),
       pairs AS (SELECT a, b, common, round(common / (na + nb - common), 6) AS jaccard FROM p
-                WHERE least(na, nb) > 0 AND common >= {JACCARD} * (na + nb - common) AND common >= {CONTAINMENT} * least(na, nb))"""
+                WHERE named OR NOT series AND least(na, nb) > 0 AND common >= {JACCARD} * (na + nb - common) AND common >= {CONTAINMENT} * least(na, nb))"""
 
 
 def story_groups(items: DataFrame) -> DataFrame:

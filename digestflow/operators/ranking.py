@@ -96,6 +96,11 @@ def told_before(events: DataFrame, history_urls: DataFrame, history_titles: Data
     return both.select("event_id", F.coalesce("by_page", F.lit(False)).alias("by_page"), F.coalesce("by_title", F.lit(False)).alias("by_title"))
 
 
+def recent(history: DataFrame, run: object, days: int = 45) -> DataFrame:
+    """The entries of the days before `run`, a pruning of partitions where the table is laid out by target_date."""
+    return history.where((F.col("target_date") >= F.date_sub(F.lit(run), days)) & (F.col("target_date") < F.lit(run)))
+
+
 def told_before_sql() -> str:
     return f"""WITH p AS (SELECT DISTINCT {urls.canonical_url_sql("url")} AS page FROM history_urls),
       e AS (SELECT event_id, {urls.canonical_url_sql("canonical_url")} AS page, {text.title_tokens_sql("coalesce(title, '')")} AS tokens, {text.product_ids_sql("coalesce(title, '')")} AS products FROM news_events),

@@ -64,6 +64,11 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return out
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder, not yet made, beside the cut tables."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a frame that cut() wrote and that nothing reads any more."""
     path = getattr(df, "_cut_path", None)

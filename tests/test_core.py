@@ -147,7 +147,26 @@ def test_upsert_keeps_the_best_row(spark, tmp_path):
         spark.createDataFrame(rows, "day string, rank int, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema("day string, rank int, text string").parquet(str(tmp_path / "in"))
         facades.upsert_best(stream, str(tmp_path / "out"), "day", "rank").awaitTermination()
-    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out/current")).collect()) == [("d1", 2, "z"), ("d2", 1, "y")]
+    store = facades.BestRows(spark, str(tmp_path / "out"), "day", "rank")
+    assert sorted(tuple(r) for r in store.read().collect()) == [("d1", 2, "z"), ("d2", 1, "y")]
+    store.merge(spark.createDataFrame([("d1", 1, "replayed")], "day string, rank int, text string"), 1)  # a batch seen before
+    store.merge(spark.createDataFrame([("d2", 1, "equal"), ("d3", 4, "new")], "day string, rank int, text string"), 2)
+    assert sorted(tuple(r) for r in store.read().collect()) == [("d1", 2, "z"), ("d2", 1, "y"), ("d3", 4, "new")]
+
+
+def test_streams_of_pairs_ledger_and_audit(spark, tmp_path):
+    rows = [("k", "2025-09-15 00:00:00", 60.0), ("k", "2025-09-16 00:00:00", 50.0), ("m", "2025-09-15 01:00:00", 5.0), ("k", "2025-09-20 00:00:00", 1.0)]
+    batch = spark.createDataFrame(rows, "key string, t string, amount double").selectExpr("key", "cast(t as timestamp) at", "amount")
+    batch.write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
+    pairs = facades.stream_pairs(stream(), stream(), "key", "at").writeStream.format("memory").queryName("pairs").trigger(availableNow=True).start()
+    pairs.awaitTermination()
+    assert spark.table("pairs").where("at_a <> at_b").count() == 2 and spark.table("pairs").count() == 6
+    ledger = facades.stream_ledger(stream().selectExpr("date_format(at, 'yyyy-MM') day", "amount"), 100.0).writeStream.outputMode("update").format("memory").queryName("ledger").trigger(availableNow=True).start()
+    ledger.awaitTermination()
+    assert [tuple(r) for r in spark.table("ledger").collect()] == [("2025-09", 4, 116.0, True)]
+    facades.admit_or_audit(stream(), str(tmp_path / "out"), facades.F.col("amount") > 10).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/accepted")).count() == 2 and spark.read.parquet(str(tmp_path / "out/audit")).count() == 2
 
 
 def test_pages_fill_dates_and_index_articles(spark):
@@ -165,3 +184,33 @@ def test_pages_fill_dates_and_index_articles(spark):
     assert second.error == "PageMissing" and second.published_at == "2024-03-04T16:00:00Z"
     whole = feeds.fill_dates(read.where("source = 'a'"), pages.limit(0), sources).unionByName(read.where("source <> 'a'"))
     assert {r.source: r.status for r in feeds.health(whole, sources).collect()} == {"a": "failed", "e": "failed", "n": "not_modified"}
+
+
+def test_rare_tokens_and_salted_tokens_give_the_same_candidates(spark, monkeypatch):
+    import numpy as np
+
+    from digestflow.operators import setjoin
+
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, int(rng.integers(0, 5)) * 10, sorted({"hot", *rng.choice(words, 6)})) for i in range(150)] + [(200 + i, 20, ["hot", "twin", "pair"]) for i in range(40)]
+    df = spark.createDataFrame(rows, "ordinal long, at long, tokens array<string>")
+
+    def exact(jaccard, window):
+        out = set()
+        for i, (a, ta, x) in enumerate(rows):
+            for b, tb, y in rows[i + 1 :]:
+                common = len(set(x) & set(y))
+                if abs(ta - tb) <= window and common >= jaccard * (len(x) + len(y) - common) and common >= 0.55 * min(len(x), len(y)):
+                    out.add((a, b))
+        return out
+
+    found = {(r.a, r.b) for r in setjoin.self_candidates(df, 0.38, 0.55, 12).collect()}
+    assert exact(0.38, 12) <= found < {(a, b) for a, _, _ in rows for b, _, _ in rows if a < b}
+    blocks = setjoin.self_candidates(df, 0.38, 0.55, 12)
+    assert blocks.count() == len(found)
+    both = df.selectExpr("ordinal", "0L as at", "tokens", "cast(ordinal % 2 as string) as `group`")
+    crossed = {(r.a, r.b) for r in setjoin.cross_candidates(both.where("ordinal < 100"), both.where("ordinal >= 100"), 0.5, 0.65).collect()}
+    need = {(a, b) for a, _, x in rows for b, _, y in rows if a < 100 <= b and a % 2 == b % 2 and (c := len(set(x) & set(y))) >= 0.5 * (len(x) + len(y) - c) and c >= 0.65 * min(len(x), len(y))}
+    assert need <= crossed
+    assert setjoin.self_candidates(df.limit(0), 0.38, 0.55, 12).count() == 0
