@@ -5,7 +5,7 @@ at most one replaced or misspelt word (one term in Chinese). Both relations are
 pairwise: a title is a node, and titles that agree around one open slot meet under the key of that slot. Within a slot, ordinary
 words may replace each other; any word without digits may differ by one slip of the pen, found by shared one-letter deletions;
 numbers, versions and product names may not differ. Titles first meet by half (the first or the last half is intact), and only
-halves with several titles are opened slot by slot. Components of the graph of pages and titles then decide which rows are known:
+halves with several titles are opened slot by slot; titles too short to halve meet by what is left beside each slot. Components of the graph of pages and titles then decide which rows are known:
 those connected to history or to a row of an earlier batch.
 
 Null or blank URLs and titles match nothing; rows without ordinal or time of discovery are left out. Rows of the same batch do not
@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.functions.urls import canonical_url
@@ -29,7 +29,9 @@ from digestflow.operators.components import connected_components
 from digestflow.session import cut
 
 MIN_ORDINARY = 1
-MAX_TERM = 6
+MAX_TERM = 6  # characters of a Chinese term
+SHORT_HAN = 8
+MAX_SITES = 20_000
 # Words that stand as a flag before a title.
 FLAGS = (
     "update", "updated", "breaking", "exclusive", "just in", "live", "alert", "developing", "watch", "video", "opinion", "analysis",
@@ -37,23 +39,21 @@ FLAGS = (
 )
 _FLAG = re.compile(rf"^\s*(?:[\[【(（]\s*[^\]】)）]{{1,16}}[\]】)）]\s*[:：|]?\s*|(?:{'|'.join(FLAGS)})\s*[:：|｜!！]\s*)", re.I)
 _TOKEN = re.compile(r"[^\W_一-鿿㐀-䶿]+|[一-鿿㐀-䶿]+")
+_SEPARATOR = re.compile(r"\s*[-—–|｜_·»:：]+\s*")
 _HAN = re.compile(r"[一-鿿㐀-䶿]")
 _NAME_PART = re.compile(r"(?<=[^\W_])-(?=[^\W_])")
 
 
-def site_pattern(names: list[str]) -> re.Pattern[str] | None:
-    """Pattern of a site name behind a title with its separator."""
-    if not names:
-        return None
-    return re.compile(rf"\s*[-—–|｜_·»:：]+\s*(?:{'|'.join(re.escape(n) for n in sorted(names, key=len, reverse=True))})\s*$", re.I)
+def title_tails(text: str) -> list[tuple[int, str]]:
+    """(start, tail) at each separator of a title: what stands behind it, in lower case."""
+    return [(m.start(), tail) for m in _SEPARATOR.finditer(text) if (tail := text[m.end() :].strip().lower())]
 
 
-def title_units(title: str | None, site: re.Pattern[str] | None) -> list[str]:
+def title_units(title: str | None, sites: Container[str]) -> list[str]:
     """The words of a title without flag and site name, in lower case; Chinese runs stay whole."""
     text = unicodedata.normalize("NFKC", title or "")
     text = _FLAG.sub("", text, count=1)
-    if site is not None:
-        text = site.sub("", text)
+    text = next((text[:start] for start, tail in title_tails(text) if tail in sites), text)
     return _TOKEN.findall(text.lower())
 
 
@@ -61,15 +61,53 @@ def _h(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(parts)) - (1 << 63)
 
 
-def _normalise(site: re.Pattern[str] | None):
+def _normalise(sites: object):
+    """sites: a broadcast set of names, or None where each row brings its own in `_sites`."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            units = [title_units(t, site) for t in batch["title"]]
+            own = [sites.value] * len(batch) if sites is not None else batch["_sites"]
+            units = [title_units(t, known) for t, known in zip(batch["title"], own, strict=True)]
             yield pd.DataFrame({"ordinal": batch["ordinal"], "day": batch["day"], "url_node": batch["url_node"], "title_node": pd.array([_h("t", "".join(u)) if u else None for u in units], dtype="Int64"), "units": [" ".join(u) for u in units], "plain": batch["title"].astype(object)})
 
     return run
 
 
+@skip_empty
+def _all_tails(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = {(title, tail) for title in batch["title"] for _, tail in title_tails(_FLAG.sub("", unicodedata.normalize("NFKC", title or ""), count=1))}
+        yield pd.DataFrame(list(rows), columns=["_t", "tail"])
+
+
+def normalised(rows: DataFrame, sites: DataFrame, limit: int = MAX_SITES) -> DataFrame:
+    """rows(ordinal, day, url_node, title) with title_node, units and plain. sites(name): names that may stand behind a title; few are broadcast, many are joined."""
+    names = bounded_keys(sites.select("name"), limit)
+    schema = "ordinal long, day long, url_node long, title_node long, units string, plain string"
+    if names is not None:
+        shared = rows.sparkSession.sparkContext.broadcast(frozenset(names))
+        return rows.mapInPandas(_normalise(shared), schema)
+    tails = rows.select("title").mapInPandas(_all_tails, "_t string, tail string").join(sites, F.col("tail") == F.col("name"), "left_semi")
+    own = tails.groupBy("_t").agg(F.collect_set("tail").alias("_sites"))
+    joined = rows.join(own, F.col("title") == F.col("_t"), "left").withColumn("_sites", F.coalesce("_sites", F.array().cast("array<string>")))
+    return joined.select("ordinal", "day", "url_node", "title", "_sites").mapInPandas(_normalise(None), schema)
+
+
+def _deletions(word: str) -> set[str]:
+    """A word without digits of four letters or more, and its one-letter deletions: two words that share one differ by a slip of the pen."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))} if len(word) >= 4 and not any(c.isdigit() for c in word) else set()
+
+
+def _spans(solid: str, longest: int) -> Iterator[tuple[int, int]]:
+    """The places of a Chinese term that may be replaced: no letters or digits inside, something left outside."""
+    for i in range(len(solid)):
+        for k in range(i + 1, min(i + longest, len(solid)) + 1):
+            if not _HAN.match(solid[k - 1]):
+                break
+            if k - i < len(solid):
+                yield i, k
+
+
 @skip_empty
 def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keys for each title: what is left of it when the slot lies in its last or first half; for a Chinese term, at each length it may have."""
@@ -79,7 +117,10 @@ def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = units.split(" ")
             if _HAN.search(units):
                 solid, middle = "".join(words), len(words) // 2
-                if len(solid) >= 8:
+                if len(solid) < SHORT_HAN:  # too short to halve: what is left around each term
+                    out += [(_h("h3", solid[:i], solid[k:]), node) for i, k in _spans(solid, MAX_TERM)]
+                    out += [(_h("h4", str(len(words)), str(i), *words[:i], *words[i + 1 :]), node) for i in range(len(words)) if len(words) > 1]
+                else:
                     # two titles have the same rest beside their terms, whatever the terms' lengths; half of it lies on one side
                     for half in {(len(solid) - term + 1) // 2 for term in range(1, MAX_TERM + 1)}:
                         out += [(_h("h", solid[:half]), node), (_h("h2", solid[-half:]), node)]
@@ -88,6 +129,10 @@ def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             elif len(words) >= 4:
                 half = len(words) // 2
                 out += [(_h("e1", str(len(words)), *words[:half]), node), (_h("e2", str(len(words)), *words[half:]), node)]
+            elif len(words) > 1:
+                out += [(_h("e3", str(len(words)), str(i), *words[:i], *words[i + 1 :]), node) for i in range(len(words))]
+            else:
+                out += [(_h("e4", v), node) for v in _deletions(words[0])]
         yield pd.DataFrame(out, columns=["half", "title_node"]).astype("int64").drop_duplicates()
 
 
@@ -99,17 +144,15 @@ def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for node, units in zip(batch["title_node"], batch["units"], strict=True):
             words = units.split(" ")
             chinese = _HAN.search(units) is not None
+            if len(words) == 1 and not chinese:  # nothing is left beside the only word: it may be misspelt, not replaced
+                out += [(_h("s1", v), "", node) for v in _deletions(words[0])]
+                continue
             for i, w in enumerate(words):
                 if not _HAN.match(w):
                     out.append((_h("s", str(len(words)), str(i), *words[:i], *words[i + 1 :]), w, node))
             if chinese:
                 solid = "".join(words)
-                fixed = [not _HAN.match(c) for c in solid]
-                for i in range(len(solid)):
-                    for k in range(i + 1, min(i + MAX_TERM, len(solid)) + 1):
-                        if fixed[k - 1]:
-                            break
-                        out.append((_h("z", solid[:i], solid[k:]), "", node))
+                out += [(_h("z", solid[:i], solid[k:]), "", node) for i, k in _spans(solid, MAX_TERM)]
         yield pd.DataFrame(out, columns=["slot", "word", "title_node"]).astype({"slot": "int64", "title_node": "int64"})
 
 
@@ -121,8 +164,7 @@ def _slips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for slot, word, ordinary, node in zip(batch["slot"], batch["word"], batch["ordinary"], batch["title_node"], strict=True):
             if ordinary or not word:
                 out.append((_h("o", str(slot)), node))
-            if word and not any(c.isdigit() for c in word) and len(word) >= 4:
-                out += [(_h("d", str(slot), v), node) for v in {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}]
+            out += [(_h("d", str(slot), v), node) for v in _deletions(word)]
         yield pd.DataFrame(out, columns=["key", "title_node"]).astype("int64")
 
 
@@ -145,33 +187,60 @@ def _word_uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"word": list(total), "alone": [alone.get(w, 0) for w in total], "total": list(total.values())})
 
 
-def title_links(titles: DataFrame) -> DataFrame:
-    """titles(title_node, units, plain), one row per node, to (a, b): links whose components join all matching titles."""
-    halves = titles.select("title_node", "units").mapInPandas(_halves, "half long, title_node long")
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    near = halves.join(shared, "half", "left_semi").select("title_node").distinct()
-    slots = titles.join(near, "title_node", "left_semi").select("title_node", "units").mapInPandas(_slots, "slot long, word string, title_node long").repartition("slot")
-    full = slots.groupBy("slot").agg(F.min("title_node").alias("_lo"), F.max("title_node").alias("_hi")).where("_lo <> _hi").select("slot")
+def ordinary_words(titles: DataFrame) -> DataFrame:
+    """(word): ordinary words, seen in lower case by themselves in at least half of their uses in titles(plain)."""
     uses = titles.select("plain").mapInPandas(_word_uses, "word string, alone long, total long").groupBy("word").agg(F.sum("alone").alias("alone"), F.sum("total").alias("total"))
-    ordinary = uses.where((F.col("alone") >= MIN_ORDINARY) & (F.col("alone") * 2 >= F.col("total"))).select("word", F.lit(True).alias("ordinary"))
-    worded = slots.join(full, "slot", "left_semi").join(ordinary, "word", "left").select("slot", "word", F.coalesce("ordinary", F.lit(False)).alias("ordinary"), "title_node")
-    keyed = worded.mapInPandas(_slips, "key long, title_node long").repartition("key").distinct()
-    least = keyed.groupBy("key").agg(F.min("title_node").alias("b"))
+    return uses.where((F.col("alone") >= MIN_ORDINARY) & (F.col("alone") * 2 >= F.col("total"))).select("word")
+
+
+def half_keys(titles: DataFrame) -> DataFrame:
+    """(half, title_node) of titles(title_node, units): two matching titles share a half."""
+    return titles.select("title_node", "units").mapInPandas(_halves, "half long, title_node long")
+
+
+def title_links(titles: DataFrame, ordinary: DataFrame | None = None, halved: bool = True) -> DataFrame:
+    """titles(title_node, units, plain), one row per node, to (a, b): links whose components join all matching titles.
+
+    ordinary(word): the ordinary words, by default those of the titles. halved: whether titles that share no half are left aside first.
+    A slot or key of many titles is folded to its least title on the map side before anything is moved.
+    """
+    opened = titles
+    if halved:
+        halves = half_keys(titles)
+        shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
+        opened = titles.join(halves.join(shared, "half", "left_semi").select("title_node").distinct(), "title_node", "left_semi")
+    slots = cut(opened.select("title_node", "units").mapInPandas(_slots, "slot long, word string, title_node long"), "slots")
+    full = slots.groupBy("slot").agg(F.min("title_node").alias("_lo"), F.max("title_node").alias("_hi")).where("_lo <> _hi").select("slot")
+    known = (ordinary_words(titles) if ordinary is None else ordinary).select("word", F.lit(True).alias("ordinary"))
+    worded = slots.join(full, "slot", "left_semi").join(known, "word", "left").select("slot", "word", F.coalesce("ordinary", F.lit(False)).alias("ordinary"), "title_node")
+    keyed = cut(worded.mapInPandas(_slips, "key long, title_node long"), "keyed")
+    least = keyed.groupBy("key").agg(F.min("title_node").alias("b"), F.max("title_node").alias("_hi")).where("b <> _hi").select("key", "b")
     return keyed.join(least, "key").where("title_node <> b").select(F.col("title_node").alias("a"), "b").distinct()
 
 
-def known_rows(items: DataFrame, history_urls: DataFrame, history_titles: DataFrame, site_names: list[str]) -> DataFrame:
-    """(ordinal) of items(ordinal, url, title, discovered_at) connected to history or to a row of an earlier batch (UTC date)."""
-    def node(url):  # noqa: ANN001, ANN202
-        return F.when(F.trim(url) != "", F.xxhash64(F.lit("u"), canonical_url(url)))
+def url_node(url: Column) -> Column:
+    """Node of a page; null for a null or blank URL."""
+    return F.when(F.trim(url) != "", F.xxhash64(F.lit("u"), canonical_url(url)))
+
+
+def rows_of(items: DataFrame) -> DataFrame:
+    """items(ordinal, url, title, discovered_at) as rows (ordinal, day, url_node, title), url_node 0 for none."""
+    day = F.datediff(F.col("discovered_at").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return items.where("ordinal is not null and discovered_at is not null").select("ordinal", day.alias("day"), F.coalesce(url_node(F.col("url")), F.lit(0)).alias("url_node"), "title")
 
-    rows = items.where("ordinal is not null and discovered_at is not null").select("ordinal", F.datediff(F.col("discovered_at").cast("date"), F.lit("1970-01-01").cast("date")).cast("long").alias("day"), F.coalesce(node(F.col("url")), F.lit(0)).alias("url_node"), "title")
+
+def site_names(sources: DataFrame) -> DataFrame:
+    """(name): the display names that may stand behind a title, in lower case."""
+    return sources.where("trim(display_name) <> ''").select(F.lower(F.trim("display_name")).alias("name")).distinct()
+
+
+def known_rows(items: DataFrame, history_urls: DataFrame, history_titles: DataFrame, sites: DataFrame, ordinary: DataFrame | None = None) -> DataFrame:
+    """(ordinal) of items(ordinal, url, title, discovered_at) connected to history or to a row of an earlier batch (UTC date)."""
     past = history_titles.select(F.lit(-1).cast("long").alias("ordinal"), F.lit(-1).cast("long").alias("day"), F.lit(0).cast("long").alias("url_node"), "title")
-    pattern = site_pattern(site_names)
-    both = cut(rows.unionByName(past).mapInPandas(_normalise(pattern), "ordinal long, day long, url_node long, title_node long, units string, plain string").withColumn("url_node", F.nullif("url_node", F.lit(0).cast("long"))), "titles")
+    both = cut(normalised(rows_of(items).unionByName(past), sites).withColumn("url_node", F.nullif("url_node", F.lit(0).cast("long"))), "titles")
     titles = both.where("title_node is not null").groupBy("title_node").agg(F.min("units").alias("units"), F.min("plain").alias("plain"))
-    linked = cut(title_links(titles), "links")
-    urls_past = history_urls.select(node(F.col("url")).alias("node"), F.lit(-1).cast("long").alias("day")).where("node is not null")
+    linked = cut(title_links(titles, ordinary), "links")
+    urls_past = history_urls.select(url_node(F.col("url")).alias("node"), F.lit(-1).cast("long").alias("day")).where("node is not null")
     edges = both.where("ordinal >= 0 and url_node is not null and title_node is not null").select(F.col("url_node").alias("a"), F.col("title_node").alias("b")).distinct()
     # an edge whose two ends meet nothing else is a component already
     by_url = edges.groupBy("a").agg(F.count("*").alias("_u"))
@@ -184,11 +253,3 @@ def known_rows(items: DataFrame, history_urls: DataFrame, history_titles: DataFr
     placed = cut(dated.join(components, "node", "left").select("ordinal", "day", F.coalesce("component", "node").alias("component")), "placed")
     first = placed.groupBy("component").agg(F.min("day").alias("first"))
     return placed.where("ordinal >= 0").join(first, "component").where("first < day").select("ordinal")
-
-
-def display_names(sources: DataFrame, limit: int = 10_000) -> list[str]:
-    """Site names that may stand behind a title: the display names of the source table, checked to be few."""
-    names = bounded_keys(sources.where("trim(display_name) <> ''").select("display_name").distinct(), limit)
-    if names is None:
-        raise ValueError(f"more than {limit} sources: give site names per partition instead")
-    return names

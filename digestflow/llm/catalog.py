@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from digestflow.llm import batches, graphindex, lines, lookalikes, mixing, mojibake, nearcopies, pages, tokens, truncation
+from digestflow.llm import batches, graphindex, historyindex, lines, lookalikes, mixing, mojibake, nearcopies, pages, tokens, truncation
 from digestflow.llm.base import all_records
-from digestflow.session import cut, table
+from digestflow.session import cut, fresh_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+HEADLINE = ("p1_found", "p2_found", "p3_found", "p4_found", "p6_found", "p7_found", "p8_ids", "p9_mix", "p10_found")
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -80,11 +81,43 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p4_found")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = batches.display_names(table(spark, sf_dir, "sources"))
+    names = batches.site_names(table(spark, sf_dir, "sources"))
     items = table(spark, sf_dir, "raw_items").select("ordinal", "url", "title", "discovered_at")
     return batches.known_rows(items, table(spark, sf_dir, "history_urls"), table(spark, sf_dir, "history_titles"), names)
 
 
+@register("p1_recall")
+def p1_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digested = nearcopies.digests(pages.main_bodies(all_records(spark, sf_dir), table(spark, sf_dir, "sources"), F.col("counted")))
+    return nearcopies.link_recall(digested, nearcopies.links(digested))
+
+
+def _appended(spark: SparkSession, sf_dir: str, last: int = 2) -> tuple[DataFrame, list[tuple[str, dict]]]:
+    """Known rows where the last batches are appended one by one to a stored index of all before; and what each append read."""
+    items = table(spark, sf_dir, "raw_items").select("ordinal", "url", "title", "discovered_at")
+    day = F.col("discovered_at").cast("date")
+    days = [r[0] for r in items.select(day.alias("d")).where("d is not null").distinct().orderBy(F.col("d").desc()).limit(last).collect()]
+    index = historyindex.HistoryIndex(spark, fresh_folder(spark, "index"), batches.site_names(table(spark, sf_dir, "sources")))
+    base = items.where(~day.isin(days)) if days else items
+    known, reports = index.create(base, table(spark, sf_dir, "history_urls"), table(spark, sf_dir, "history_titles")), []
+    for d in sorted(days):
+        found, revised, report = index.append(items.where(day == F.lit(d)))
+        known = known.unionByName(found).unionByName(revised)
+        reports.append((str(d), report))
+    return known.distinct(), reports
+
+
+@register("p4_appended")
+def p4_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _appended(spark, sf_dir)[0]
+
+
+@register("p4_append_reads")
+def p4_append_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(d, *[r[k] for k in ("rows", "known", "revised", "titles_new", "titles_opened", "titles_stored")]) for d, r in _appended(spark, sf_dir)[1]]
+    return spark.createDataFrame(rows, "batch string, rows long, known long, revised long, titles_new long, titles_opened long, titles_stored long")
+
+
 @register("p8_ids")
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents"))

@@ -202,9 +202,11 @@ def search(shards: DataFrame, queries: DataFrame, k: int = 10, exhaustive: bool
     Queries stand in blocks, and every block visits every shard.
     """
     blocks = queries.select(F.pmod(F.xxhash64("id"), F.lit(max(1, -(-queries.count() // QUERY_BLOCK)))).alias("block"), F.struct("id", "s0", "s1").alias("q")).groupBy("block").agg(F.collect_list("q").alias("asked"))
-    keys = shards.select("segment", "part").withColumn("_one", F.lit(1))
-    visits = keys.join(blocks.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    found = shards.join(visits, ["segment", "part"]).select("ids", "points", "graph", "beam", "asked").mapInPandas(_search(exhaustive, k), "id long, neighbour long, distance int").distinct()
+    # a stated query set against all shards, in blocks: every shard has a slot of its own, so the visits are spread over as many tasks
+    slots = max(1, shards.count())
+    numbered = shards.withColumn("slot", F.pmod(F.xxhash64("segment", "part"), F.lit(slots)).cast("int"))
+    visits = blocks.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    found = numbered.join(visits, "slot").select("ids", "points", "graph", "beam", "asked").mapInPandas(_search(exhaustive, k), "id long, neighbour long, distance int").distinct()
     place = F.row_number().over(W.partitionBy("id").orderBy("distance", "neighbour"))
     return found.withColumn("_p", place).where(F.col("_p") <= k).drop("_p")
 

@@ -4,7 +4,8 @@ Every copy of a document gets a virtual finish time: the tokens of its source up
 by the source's target weight. The mix is the copies in order of finish time up to the total budget. Copy k of a source follows all its
 copies k-1, at most `max_repeat` times. Prefix sums run in two steps, so no source meets in one task: the shuffled order is cut into
 buckets of equal hash ranges, bucket totals are summed over a small table (mixes x sources x buckets), and only inside a bucket
-rows are ordered. The same holds for the final cut over buckets of finish time.
+rows are ordered. The same holds for the final cut over buckets of finish time. The finish time at which the budget is reached follows from the totals of the
+sources alone, so copies that start later are never written; the number of buckets grows with the documents.
 
 Documents without tokens (null, empty) are in no mix. Sources missing from documents give nothing, their share is reported as 0.
 Null sources and non-positive shares are left out. Ties of the shuffle key are broken by doc_id.
@@ -19,7 +20,23 @@ from pyspark.sql import functions as F
 from digestflow.session import cut
 
 SEED = 7
-BUCKETS = 256
+BUCKETS, BUCKET_ROWS = 256, 100_000
+
+
+def closing_times(totals: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(mix_name, closes): the finish time at which each mix has its budget, from totals(source, whole) and wanted(mix_name, source, target_share, max_repeat, budget).
+
+    At time f a source has served min(f * share, max_repeat * whole) tokens; the sum is linear between the times at which sources run dry. Null where
+    all sources run dry first. A few rows for each mix.
+    """
+    dry = wanted.join(totals, "source").select("mix_name", "budget", "source", F.col("target_share").alias("share"), (F.col("whole") * F.col("max_repeat")).alias("cap"))
+    dry = dry.withColumn("at", F.col("cap") / F.col("share"))
+    order = W.partitionBy("mix_name").orderBy("at", "source")
+    past = order.rowsBetween(W.unboundedPreceding, -1)
+    spent, open_ = F.coalesce(F.sum("cap").over(past), F.lit(0.0)), F.sum("share").over(order.rowsBetween(0, W.unboundedFollowing))
+    served = dry.select("mix_name", "budget", "at", spent.alias("spent"), open_.alias("open"))
+    reached = served.where(F.col("spent") + F.col("at") * F.col("open") >= F.col("budget"))
+    return reached.groupBy("mix_name").agg(F.min((F.col("budget") - F.col("spent")) / F.col("open")).alias("closes"))
 
 
 def finish_times(sized: DataFrame, targets: DataFrame, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
@@ -34,14 +51,17 @@ def finish_times(sized: DataFrame, targets: DataFrame, seed: int = SEED, buckets
     placed = docs.withColumn("_within", within).join(starts, (F.col("source") == F.col("_s")) & (F.col("_b") == F.col("_sb")))
     everything = sized.agg(F.sum("tokens").alias("_all"))
     wanted = targets.where("target_share > 0 and max_repeat > 0 and source is not null").crossJoin(everything).select("mix_name", F.col("source").alias("_ts"), "target_share", "max_repeat", (F.col("total_ratio") * F.col("_all")).alias("budget"))  # one row beside the targets
-    mixed = placed.join(wanted, F.col("source") == F.col("_ts")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("max_repeat").cast("int"))))
+    closes = closing_times(totals.groupBy("source").agg(F.sum("n").alias("whole")), wanted.withColumnRenamed("_ts", "source"))
+    wanted = wanted.join(closes.withColumnRenamed("mix_name", "_cm"), F.col("mix_name") == F.col("_cm"), "left").drop("_cm")
+    mixed = placed.join(F.broadcast(wanted), F.col("source") == F.col("_ts")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("max_repeat").cast("int"))))
     finish = ((F.col("copy") - 1) * F.col("_whole") + F.col("_before") + F.col("_within")) / F.col("target_share")
-    return mixed.select("mix_name", "source", "doc_id", "copy", "tokens", finish.alias("finish"), "budget")
+    queued = mixed.withColumn("finish", finish).where(F.col("closes").isNull() | (F.col("finish") - F.col("tokens") / F.col("target_share") <= F.col("closes") * 1.000001))
+    return queued.select("mix_name", "source", "doc_id", "copy", "tokens", "finish", "budget")
 
 
 def mix(sized: DataFrame, targets: DataFrame, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
     """(mix_name, source, doc_id, repeats, tokens): how often each document stands in each mix; tokens of one copy."""
-    # a queue never serves a copy that finishes after budget / (sum of shares): later ones need no sorting
+    buckets = max(buckets, sized.count() // BUCKET_ROWS)
     queue = cut(finish_times(sized, targets, seed, buckets), "queue")
     span = queue.groupBy("mix_name").agg(F.max("finish").alias("_span")).withColumnRenamed("mix_name", "_m")
     queue = queue.join(F.broadcast(span), F.col("mix_name") == F.col("_m")).drop("_m")  # one row for each mix

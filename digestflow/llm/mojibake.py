@@ -17,12 +17,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.llm.base import skip_empty
-from digestflow.session import cut
+from digestflow.session import cut, discard
 
 # Fixed values: (decoder wrongly used, right decoder).
 CHAINS = (
@@ -155,40 +154,60 @@ def _gather(shared: object):
                 if not text or text.isascii():
                     continue
                 for number, m in enumerate(_PASSAGE.finditer(text)):
-                    if not m[0].isascii():
-                        rows += [(doc_id, source or "", number, chain, ratio, whole) for chain, ratio, whole in evidence.of_passage(m[0])]
-            yield pd.DataFrame(rows, columns=["doc_id", "source", "passage", "chain", "ratio", "whole"]).astype({"doc_id": "int64", "passage": "int32", "chain": "int32", "ratio": "float64", "whole": "bool"})
+                    if not m[0].isascii() and (found := evidence.of_passage(m[0])):
+                        rows.append((doc_id, source or "", number, [{"chain": c, "ratio": r, "whole": w} for c, r, w in found]))
+            yield pd.DataFrame(rows, columns=["doc_id", "source", "passage", "found"]).astype({"doc_id": "int64", "passage": "int32"})
 
     return run
 
 
-def posteriors(documents: DataFrame, counts: dict[str, int], rounds: int = 4) -> DataFrame:
-    """(doc_id, source, passage, chain, whole, posterior) of every passage and chain with evidence, after EM over the sources."""
-    shared = documents.sparkSession.sparkContext.broadcast(counts)  # bounded by the code points of Unicode
-    weighed = cut(documents.where("doc_id is not null").select("doc_id", "source", "text").mapInPandas(_gather(shared), "doc_id long, source string, passage int, chain int, ratio double, whole boolean"), "evidence")
-    sizes = documents.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.count("*").alias("texts"))
-    passage = W.partitionBy("doc_id", "passage")
+def _expected(weighed: DataFrame, weights: DataFrame | None) -> DataFrame:
+    """weighed with `posterior`, one number for each chain of `found`. All evidence of a passage lies in its row, so the E-step moves no passage."""
+    prior = F.lit(math.log(PRIOR / len(CHAINS)))
+    if weights is None:
+        scores = F.transform("found", lambda f: prior + F.least(f["ratio"], F.lit(300.0)))
+        joined = weighed
+    else:
+        joined = weighed.join(weights.select("source", "logs"), "source", "left")
+        scores = F.transform("found", lambda f: F.coalesce(F.try_element_at("logs", f["chain"]), prior) + F.least(f["ratio"], F.lit(300.0)))
+    joined = joined.withColumn("scores", scores).withColumn("top", F.greatest(F.array_max("scores"), F.lit(0.0)))
+    weight = F.transform("scores", lambda x: F.exp(x - F.col("top")))
+    joined = joined.withColumn("ws", weight).withColumn("whole_sum", F.exp(-F.col("top")) + F.aggregate("ws", F.lit(0.0), lambda t, x: t + x))
+    return joined.withColumn("posterior", F.transform("ws", lambda x: x / F.col("whole_sum"))).select("doc_id", "source", "passage", "found", "posterior")
 
-    def expected(weights: DataFrame | None) -> DataFrame:
-        prior = F.lit(PRIOR / len(CHAINS))
-        joined = weighed if weights is None else weighed.join(weights, ["source", "chain"], "left")
-        weight = prior if weights is None else F.coalesce("weight", prior)
-        score = F.log(weight) + F.least(F.col("ratio"), F.lit(300.0))
-        top = joined.withColumn("score", score).withColumn("top", F.greatest(F.max("score").over(passage), F.lit(0.0)))
-        return top.withColumn("posterior", F.exp(F.col("score") - F.col("top")) / (F.exp(-F.col("top")) + F.sum(F.exp(F.col("score") - F.col("top"))).over(passage)))
 
+def posteriors(documents: DataFrame, counts: dict[str, int], rounds: int = 12, settled: float = 1e-3) -> DataFrame:
+    """(doc_id, source, passage, found, posterior) of every passage with evidence, after EM over the sources until no weight moves by more than `settled`, or `rounds` are over."""
+    shared = documents.sparkSession.sparkContext.broadcast(counts)  # bounded by the code points of Unicode
+    schema = "doc_id long, source string, passage int, found array<struct<chain:int,ratio:double,whole:boolean>>"
+    weighed = cut(documents.where("doc_id is not null").select("doc_id", "source", "text").mapInPandas(_gather(shared), schema), "evidence")
+    sizes = documents.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.count("*").alias("texts"))
     weights = None
     for _ in range(rounds):
         # a source's weight of a chain: expected passages among its texts, with a pinch of the prior
-        sums = expected(weights).groupBy("source", "chain").agg(F.sum("posterior").alias("hits")).join(sizes, "source")
-        weights = cut(sums.select("source", "chain", ((F.col("hits") + F.lit(PRIOR)) / (F.col("hits") + F.col("texts") * F.lit(4) + F.lit(1.0))).alias("weight")), "weights")
-    return expected(weights).select("doc_id", "source", "passage", "chain", "whole", "posterior")
+        hits = _expected(weighed, weights).select("source", F.explode(F.arrays_zip("found.chain", "posterior")).alias("z")).groupBy("source", F.col("z")["chain"].alias("chain")).agg(F.sum(F.col("z")["posterior"]).alias("hits"))
+        weight = (F.col("hits") + F.lit(PRIOR)) / (F.col("hits") + F.col("texts") * F.lit(4) + F.lit(1.0))
+        logs = hits.join(sizes, "source").groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("chain", F.log(weight)))).alias("logs"))  # as many entries as chains
+        following = cut(logs, "weights")
+        if weights is not None:
+            both = following.join(weights.select("source", F.col("logs").alias("was")), "source", "left")
+            moves = F.transform(F.map_entries("logs"), lambda e: F.abs(F.exp(e["value"]) - F.coalesce(F.exp(F.try_element_at("was", e["key"])), F.lit(0.0))))
+            moved = both.agg(F.max(F.array_max(moves))).first()[0]
+            discard(weights)
+            if moved is None or moved <= settled:
+                weights = following
+                break
+        weights = following
+    return cut(_expected(weighed, weights), "posteriors")
+
+
+def _sure(threshold: float) -> Column:
+    return F.aggregate("posterior", F.lit(0.0), lambda t, x: t + x) > threshold
 
 
 def garbled_documents(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(doc_id) of the documents of which a passage was decoded wrongly, restorable or not."""
-    found = posteriors(documents, character_counts(documents))
-    return found.groupBy("doc_id", "passage").agg(F.sum("posterior").alias("p")).where(F.col("p") > threshold).select("doc_id").distinct()
+    return posteriors(documents, character_counts(documents)).where(_sure(threshold)).select("doc_id").distinct()
 
 
 def _repair(shared: object, threshold: float):
@@ -197,7 +216,11 @@ def _repair(shared: object, threshold: float):
         for batch in batches:
             out, whole_again = [], []
             for text, found in zip(batch["text"], batch["found"], strict=True):
-                best = {f["passage"]: (f["chain"], f["whole"]) for f in sorted(found, key=lambda f: f["posterior"]) if f["posterior"] > threshold / 2}
+                best = {}
+                for f in found:
+                    chance, chain, whole = max((p, x["chain"], x["whole"]) for p, x in zip(f["posterior"], f["found"], strict=True))
+                    if chance > threshold / 2:
+                        best[f["passage"]] = (chain, whole)
                 pieces, at = [], 0
                 for number, m in enumerate(_PASSAGE.finditer(text)):
                     pieces.append(text[at : m.start()])
@@ -221,7 +244,6 @@ def _repair(shared: object, threshold: float):
 def repaired_documents(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(doc_id, repaired, restored) of the garbled documents; restored is false where bytes were lost."""
     counts = character_counts(documents)
-    found = posteriors(documents, counts).groupBy("doc_id").agg(F.collect_list(F.struct("passage", "chain", "whole", "posterior")).alias("found"))
-    bad = garbled_documents(documents, threshold)
+    found = posteriors(documents, counts).groupBy("doc_id").agg(F.collect_list(F.struct("passage", "found", "posterior")).alias("found"), F.max(_sure(threshold)).alias("bad"))
     shared = documents.sparkSession.sparkContext.broadcast(counts)
-    return documents.select("doc_id", "text").join(bad, "doc_id").join(found, "doc_id").mapInPandas(_repair(shared, threshold), "doc_id long, repaired string, restored boolean")
+    return documents.select("doc_id", "text").join(found.where("bad"), "doc_id").mapInPandas(_repair(shared, threshold), "doc_id long, repaired string, restored boolean")

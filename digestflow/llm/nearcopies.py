@@ -3,11 +3,13 @@
 Title and main body become runs of three words (of three characters in Chinese), case and punctuation ignored. Min-hashes of the
 runs give banded keys, which propose pairs, and a sketch of one bit per hash. Proposed pairs pass the bit-sliced comparison of
 their sketches (bitslice.py) and then an exact Jaccard check on the runs; accepted links are contracted to components.
-Records with one and the same text are one node throughout, so a text repeated in a third of all rows costs one row.
+Records with one and the same text are one node throughout: a task bands a text once (as long as it remembers it), copies from several tasks meet in their bucket
+and are dropped there, so a text repeated in a third of all rows costs a few rows for each task.
 
 With 42 bands of 3 hashes (all the sketch has) a link at exactly one half is proposed with probability 0.996, at 0.6 with 0.99995; what no band
-proposes is not found. The sketch radius is four standard deviations beyond the expected distance at one half. The band rows carry the sketch, so a bucket is compared where it
-lies; buckets larger than a block are compared block against block in separate tasks. Records without any word match nothing; null titles and summaries count as empty; rows repeated under
+proposes is not found. The sketch radius is four standard deviations beyond the expected distance at one half. The band rows carry the sketch; a task turns the
+sketches of its sorted buckets into vertical planes once and compares each bucket where it lies. Buckets larger than a block go out as packed blocks of
+planes, and each pair of blocks is one row of work for some task. Records without any word match nothing; null titles and summaries count as empty; rows repeated under
 other ordinals are members of one group.
 """
 
@@ -29,8 +31,9 @@ from digestflow.session import cut
 
 BANDS, ROWS, SKETCH_BITS = 42, 3, 128
 THRESHOLD, RADIUS = 0.5, 52
-BLOCK = 256
-FILTER_BITS = 1 << 21
+BLOCK, CELL = 256, 1_024
+REMEMBERED = 200_000
+MAX_FILTER_BITS = 1 << 26
 _WORD = re.compile(r"[^\W_]+")
 _ASCII_BREAKS = {c: " " for c in range(128) if not chr(c).isalnum()}
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
@@ -96,10 +99,13 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(band, text_key, s0, s1): the banded keys of each text with its sketch of 128 bits."""
     band_number = np.arange(BANDS, dtype=np.uint64)
+    told: set[int] = set()
     for batch in batches:
         batch = batch.drop_duplicates("text_key")
+        batch = batch[[k not in told for k in batch["text_key"]]]
         if not len(batch):
             continue
+        told = told | set(batch["text_key"]) if len(told) < REMEMBERED else set(batch["text_key"])
         mins = np.stack([min_hashes(np.frombuffer(r, dtype=np.uint32)) for r in batch["runs"]])
         grouped = mins[:, : BANDS * ROWS].reshape(len(mins), BANDS, ROWS)
         band = grouped[:, :, 0].copy()
@@ -110,19 +116,6 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"band": band.ravel(), "text_key": np.repeat(batch["text_key"].to_numpy(), BANDS), "s0": np.repeat(sketch[:, 0], BANDS), "s1": np.repeat(sketch[:, 1], BANDS)})
 
 
-def _close(rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Pairs (a < b) of different texts among row numbers whose sketches pass the bit-sliced comparison; rows: text_key, s0, s1."""
-    different = rows[left, 0] != rows[right, 0]
-    left, right = left[different], right[different]
-    sketches = np.ascontiguousarray(rows[:, 1:]).view(np.uint8)
-    near = bitslice.within_radius(sketches[left], sketches[right], RADIUS)
-    a, b = rows[left[near], 0], rows[right[near], 0]
-    return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
-
-
-NONE = -1
-
-
 def _joined(batches: Iterator[pd.DataFrame], rows: int = 200_000) -> Iterator[np.ndarray]:
     """The batches as (band, text_key, s0, s1) arrays of about `rows` rows."""
     held: list[np.ndarray] = []
@@ -135,55 +128,69 @@ def _joined(batches: Iterator[pd.DataFrame], rows: int = 200_000) -> Iterator[np
         yield np.concatenate(held)
 
 
+def _bucket_pairs(part: np.ndarray) -> np.ndarray:
+    """Pairs (a < b) of different texts of one bucket within the radius; part: (band, text_key, s0, s1) sorted by band and text, each text once in a bucket."""
+    vertical = bitslice.planes(np.ascontiguousarray(part[:, 2:]).view(np.uint8))
+    found = [np.empty((0, 2), dtype=np.int64)]
+    for step in range(1, len(part)):
+        same = np.zeros(len(part), dtype=bool)
+        same[:-step] = part[:-step, 0] == part[step:, 0]
+        if not same.any():
+            break
+        near = np.flatnonzero(bitslice.near_at(vertical, step, same, RADIUS))
+        found.append(np.stack([part[near, 1], part[near + step, 1]], axis=1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _pack(part: np.ndarray) -> pd.DataFrame:
+    """The rows of one large bucket as blocks of up to CELL texts: their keys and their planes."""
+    blocks = [part[i : i + CELL] for i in range(0, len(part), CELL)]
+    vertical = [bitslice.planes(np.ascontiguousarray(p[:, 2:]).view(np.uint8)) for p in blocks]
+    return pd.DataFrame({"a": 0, "b": 0, "band": part[0, 0], "keys": [np.ascontiguousarray(p[:, 1]).tobytes() for p in blocks], "planes": [v.tobytes() for v in vertical]})
+
+
 @skip_empty
 def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; a row of a larger bucket goes out as (text_key, NONE, band, s0, s1)."""
+    """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; larger buckets go out as packed blocks (band, keys, planes)."""
     held = np.empty((0, 4), dtype=np.int64)
     large: int | None = None
 
     def close(part: np.ndarray) -> pd.DataFrame:
-        pairs = [np.empty((0, 2), dtype=np.int64)]
-        step = 1
-        alive = np.arange(len(part))
-        while True:
-            alive = alive[alive + step < len(part)]
-            alive = alive[part[alive, 0] == part[alive + step, 0]]
-            if not len(alive):
-                break
-            pairs.append(_close(part[:, 1:], alive, alive + step))
-            step += 1
-        found = np.unique(np.concatenate(pairs), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1], "band": 0, "s0": 0, "s1": 0})
-
-    def spill(part: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"a": part[:, 1], "b": NONE, "band": part[:, 0], "s0": part[:, 2], "s1": part[:, 3]})
+        found = _bucket_pairs(part)
+        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1], "band": 0, "keys": None, "planes": None})
+
+    def finish(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+        starts = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
+        sizes = np.diff(np.append(starts, len(rows)))
+        big = np.repeat(sizes > BLOCK, sizes)
+        yield close(rows[~big])
+        for start, size in zip(starts[sizes > BLOCK], sizes[sizes > BLOCK], strict=True):
+            yield _pack(rows[start : start + size])
 
     for rows in _joined(batches):
         held = np.concatenate([held, rows])
-        if not len(held):
-            continue
+        held = held[np.lexsort((held[:, 1], held[:, 0]))] if large is None else held
+        held = held[np.concatenate(([True], (held[1:, 0] != held[:-1, 0]) | (held[1:, 1] != held[:-1, 1])))]  # copies from several tasks
         if large is not None:
             more = held[:, 0] == large
-            if more.any():
-                yield spill(held[more])
-            held = held[~more]
-            if not len(held):
+            if more.all():
+                yield _pack(held)
+                held = held[:0]
                 continue
-            large = None
-        starts = np.flatnonzero(np.concatenate(([True], held[1:, 0] != held[:-1, 0])))
-        sizes = np.diff(np.append(starts, len(held)))
-        last = starts[-1]
-        big = np.repeat(sizes > BLOCK, sizes)
-        if big.any():
-            yield spill(held[big])
-            if big[-1]:
-                large = int(held[-1, 0])
-        done = ~big
-        done[last:] = False
-        yield close(held[done])
-        held = held[last:][~big[last:]]
+            if more.any():
+                yield _pack(held[more])
+            held, large = held[~more], None
+            held = held[np.lexsort((held[:, 1], held[:, 0]))]
+        last = held[:, 0] == held[-1, 0]  # the last bucket may go on
+        if not last.all():
+            yield from finish(held[~last])
+        held = held[last]
+        if len(held) > 64 * CELL:  # it does not pile up
+            large = int(held[0, 0])
+            yield _pack(held)
+            held = held[:0]
     if len(held):
-        yield close(held)
+        yield from finish(held)
 
 
 @skip_empty
@@ -199,12 +206,15 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 @skip_empty
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of the members of two blocks of one bucket."""
+    """Pairs (a < b) of different texts of two packed blocks of one bucket."""
     for batch in batches:
-        n = len(batch)
-        rows = np.concatenate([batch[[f"{c}_x", f"{c}_y"]].to_numpy(dtype=np.int64).T.reshape(-1, 1) for c in ("k", "s0", "s1")], axis=1)
-        found = np.unique(_close(rows, np.arange(n), np.arange(n, 2 * n)), axis=0)
-        yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+        for kx, px, ky, py in zip(batch["keys_x"], batch["planes_x"], batch["keys_y"], batch["planes_y"], strict=True):
+            x, y = np.frombuffer(kx, dtype=np.int64), np.frombuffer(ky, dtype=np.int64)
+            near = bitslice.near_across(np.frombuffer(px, dtype=np.uint64).reshape(SKETCH_BITS, -1), len(x), np.frombuffer(py, dtype=np.uint64).reshape(SKETCH_BITS, -1), len(y), RADIUS)
+            j, i = np.nonzero(near)
+            a, b = np.minimum(x[i], y[j]), np.maximum(x[i], y[j])
+            found = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
+            yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
 
 def digests(bodies: DataFrame) -> DataFrame:
@@ -212,20 +222,13 @@ def digests(bodies: DataFrame) -> DataFrame:
     return cut(bodies.select("ordinal", "title", "body").mapInPandas(_digest, "ordinal long, text_key long, runs binary"), "runs")
 
 
-def _filter_bits(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A Bloom filter of fixed size (one hash) over a key column, or-ed from one bitmap of each task."""
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bitmap = np.zeros(bits // 8, dtype=np.uint8)
-        for batch in batches:
-            at = batch.iloc[:, 0].to_numpy(dtype=np.int64) % bits
-            np.bitwise_or.at(bitmap, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        yield pd.DataFrame({"bitmap": [bitmap.tobytes()]})
-
-    out = np.zeros(bits // 8, dtype=np.uint8)
-    for row in keys.coalesce(8).mapInPandas(fill, "bitmap binary").toLocalIterator():
-        out |= np.frombuffer(row[0], dtype=np.uint8)
-    return out
+def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter (one hash) over a key column: words of 32 bits, or-ed in one aggregation; at most bits / 32 rows come to the driver."""
+    placed = keys.select(F.pmod(F.col("text_key"), F.lit(bits)).alias("p"))
+    words = placed.select(F.expr("cast(p div 32 as int)").alias("w"), F.expr("shiftleft(1L, cast(p % 32 as int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    out = np.zeros(bits // 32, dtype=np.uint32)
+    out[words["w"].to_numpy(dtype=np.int64)] = words["m"].to_numpy(dtype=np.int64).astype(np.uint32)
+    return out.view(np.uint8)
 
 
 def _passing(shared: object, bits: int):
@@ -237,29 +240,60 @@ def _passing(shared: object, bits: int):
     return run
 
 
+def _wanted(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Each text that stands in a pair, once. A filter of eight bits for each key drops most others in the scan, as long as it stays within MAX_FILTER_BITS; the joins decide in any case."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("text_key"))
+    bits = 1 << max(16, (16 * pairs.count()).bit_length())
+    if bits <= MAX_FILTER_BITS:
+        shared = texts.sparkSession.sparkContext.broadcast(_filter_bits(needed, bits))
+        texts = texts.mapInPandas(_passing(shared, bits), texts.schema)
+    else:
+        texts = texts.join(needed.distinct(), "text_key", "left_semi")
+    return texts.dropDuplicates(["text_key"])
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """(a, b): pairs of different texts(text_key, runs) that share a band and whose sketches lie within the radius."""
+    banded = texts.mapInPandas(_bands, "band long, text_key long, s0 long, s1 long").repartition("band").sortWithinPartitions("band")
+    near = cut(banded.mapInPandas(_buckets, "a long, b long, band long, keys binary, planes binary"), "near")
+    blocks = near.where("keys is not null").select("band", F.xxhash64("keys").alias("i"), "keys", "planes")
+    left, right = (blocks.select("band", F.col("i").alias(f"i_{s}"), F.col("keys").alias(f"keys_{s}"), F.col("planes").alias(f"planes_{s}")) for s in "xy")
+    cells = left.join(right, "band").where("i_x <= i_y").select("keys_x", "planes_x", "keys_y", "planes_y", F.xxhash64("band", "i_x", "i_y").alias("cell")).repartition("cell")
+    far = cells.drop("cell").mapInPandas(_cells, "a long, b long")
+    pairs = cut(near.where("keys is null").select("a", "b").unionByName(far).distinct(), "pairs")
+    return pairs
+
+
 def links(digested: DataFrame) -> DataFrame:
     """(a, b): pairs of different texts, by text_key, that share at least half of their runs."""
     texts = digested.where("text_key <> 0").select("text_key", "runs")
-    banded = texts.mapInPandas(_bands, "band long, text_key long, s0 long, s1 long").repartition("band").sortWithinPartitions("band")
-    near = cut(banded.mapInPandas(_buckets, "a long, b long, band long, s0 long, s1 long"), "near")
-    # a bucket beyond BLOCK texts is split into cells of block pairs, compared on different tasks
-    members = near.where(F.col("b") == NONE).select("band", F.col("a").alias("k"), "s0", "s1").dropDuplicates(["band", "k"])
-    blocks = members.groupBy("band").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    placed = members.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
-    cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(F.col("own"), other).alias("x"), F.greatest(F.col("own"), other).alias("y")))
-    placed = placed.select("band", "k", "s0", "s1", "own", F.explode(cells).alias("cell"))
-    left = placed.where("own = cell.x").select("band", "cell", *[F.col(c).alias(f"{c}_x") for c in ("k", "s0", "s1")])
-    right = placed.where("own = cell.y").select("band", "cell", *[F.col(c).alias(f"{c}_y") for c in ("k", "s0", "s1")])
-    far = left.join(right, ["band", "cell"]).where("k_x <> k_y").drop("band", "cell").mapInPandas(_cells, "a long, b long")
-    pairs = cut(near.where(F.col("b") != NONE).select("a", "b").unionByName(far).distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("text_key"))
-    shared = digested.sparkSession.sparkContext.broadcast(_filter_bits(needed))
-    wanted = texts.mapInPandas(_passing(shared, FILTER_BITS), texts.schema).dropDuplicates(["text_key"])
+    pairs = candidates(texts)
+    wanted = _wanted(texts, pairs)
     first = pairs.join(wanted.select(F.col("text_key").alias("a"), F.col("runs").alias("runs_a")), "a")
     both = first.join(wanted.select(F.col("text_key").alias("b"), F.col("runs").alias("runs_b")), "b")
     return both.select("a", "b", "runs_a", "runs_b").mapInPandas(_verify, "a long, b long")
 
 
+@skip_empty
+def _prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(run, text_key): the runs one of which any text of Jaccard at least one half must share, in the order of their hashes."""
+    for batch in batches:
+        kept = [(r[: len(r) - int(np.ceil(THRESHOLD * len(r))) + 1], k) for v, k in zip(batch["runs"], batch["text_key"], strict=True) for r in [np.frombuffer(v, dtype=np.uint32)]]
+        yield pd.DataFrame({"run": np.concatenate([r for r, _ in kept]).astype(np.int64), "text_key": np.repeat([k for _, k in kept], [len(r) for r, _ in kept])})
+
+
+def link_recall(digested: DataFrame, found: DataFrame, every: int = 20) -> DataFrame:
+    """One row (queries, expected, hits, recall): of all links of the texts of rows with an ordinal divisible by `every`, those that the bands found. The expected ones come from a complete join by prefix filter."""
+    texts = cut(digested.where("text_key <> 0").select("text_key", "runs", (F.col("ordinal") % every == 0).alias("asked")).groupBy("text_key").agg(F.max("asked").alias("asked"), F.first("runs").alias("runs")), "texts")
+    asked = texts.where("asked").select("text_key", "runs")
+    sides = texts.select("text_key", "runs").mapInPandas(_prefixes, "run long, text_key long").join(asked.mapInPandas(_prefixes, "run long, text_key long").withColumnRenamed("text_key", "q"), "run")
+    pairs = sides.where("q <> text_key").select(F.col("q").alias("a"), F.col("text_key").alias("b")).distinct()
+    both = pairs.join(texts.select(F.col("text_key").alias("a"), F.col("runs").alias("runs_a")), "a").join(texts.select(F.col("text_key").alias("b"), F.col("runs").alias("runs_b")), "b")
+    due = both.mapInPandas(_verify, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    hits = due.join(found.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("expected"), F.coalesce(F.sum("hit"), F.lit(0)).alias("hits"))
+    return asked.agg(F.count("*").alias("queries")).crossJoin(hits).withColumn("recall", F.when(F.col("expected") > 0, F.round(F.col("hits") / F.col("expected"), 6)).otherwise(1.0))  # one row each
+
+
 def groups(bodies: DataFrame) -> DataFrame:
     """(ordinal, group_id) of every record with words; group_id is the least text key of the component."""
     digested = digests(bodies)

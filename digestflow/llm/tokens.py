@@ -5,12 +5,13 @@ recursive query joins neighbouring tokens with the merge table and contracts eac
 pair is left; an ordered aggregation then gives each word its ids. Vocabulary and pattern come from files named by path.
 
 Null and empty texts have no ids (an empty array). White space, control characters and any Unicode text round-trip exactly.
-Words longer than LONG_WORD bytes, whose contraction is quadratic, are encoded by the tokenizer library with the same ranks.
+Words longer than LONG_WORD bytes, whose contraction by rounds is quadratic, are contracted with the same ranks by a heap of pairs (contract).
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from digestflow.session import cut
+
 LONG_WORD = 2_000
 CACHED_WORDS = 400_000
 
@@ -68,6 +71,33 @@ def merge_table(path: str) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "m": pa.array(m, pa.int32())})
 
 
+def contract(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: the leftmost pair of least rank is merged until none is left; a heap finds it, so long words cost n log n."""
+    pieces: list[bytes | None] = [word[i : i + 1] for i in range(len(word))]
+    after = [*range(1, len(word)), -1]
+    before = list(range(-1, len(word) - 1))
+    heap: list[tuple[int, int, bytes]] = []
+
+    def offer(i: int) -> None:
+        if i >= 0 and after[i] >= 0 and (rank := ranks.get(joined := pieces[i] + pieces[after[i]])) is not None:
+            heapq.heappush(heap, (rank, i, joined))
+
+    for i in range(len(word)):
+        offer(i)
+    while heap:
+        _, i, joined = heapq.heappop(heap)
+        j = after[i] if pieces[i] is not None else -1
+        if j < 0 or pieces[i] + pieces[j] != joined:
+            continue  # one of the two was merged meanwhile
+        pieces[i], pieces[j] = joined, None
+        after[i] = after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        offer(before[i])
+        offer(i)
+    return [ranks[p] for p in pieces if p is not None]
+
+
 class WordEncoder:
     """Ids of words, remembered; new words of a batch are contracted together in one recursive query."""
 
@@ -90,7 +120,7 @@ class WordEncoder:
             if rank is not None:
                 self.known[word] = [rank]
             elif len(b) > LONG_WORD:
-                self.known[word] = self._library(word)
+                self.known[word] = contract(b, self.ranks)
             else:
                 open_words.append(word)
                 raw.append(b)
@@ -105,11 +135,6 @@ class WordEncoder:
             self.known[open_words[w]] = ids
         self.connection.unregister("start")
 
-    def _library(self, word: str) -> list[int]:
-        import tiktoken
-
-        return tiktoken.Encoding("own", pat_str=self.pattern.pattern, mergeable_ranks=self.ranks, special_tokens={}).encode_ordinary(word)
-
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         split = [self.pattern.findall(t) if t else [] for t in texts]
         if len(self.known) > CACHED_WORDS:
@@ -176,7 +201,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def round_trip(documents: DataFrame) -> DataFrame:
     """(lang, documents, tokens, bytes, changed): sizes by language and the documents that do not decode to their text."""
-    encoded = encode_documents(documents)
+    encoded = cut(encode_documents(documents), "encoded")  # used twice
     both = documents.select("doc_id", "lang", "text").join(encoded, "doc_id").join(decode_documents(encoded).withColumnRenamed("text", "decoded"), "doc_id")
     return both.groupBy("lang").agg(
         F.count("*").alias("documents"), F.sum(F.size("ids")).alias("tokens"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"), F.count_if(F.coalesce("text", F.lit("")) != F.col("decoded")).alias("changed")

@@ -83,3 +83,42 @@ def test_links_at_one_half_are_proposed(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "ordinal long, title string, body string")
     assert nearcopies.group_pairs(nearcopies.groups(df)).count() == 0
+
+
+@pytest.mark.parametrize("step", [1, 2, 63, 64, 65, 130])
+def test_vertical_planes_against_counting(step):
+    rng = np.random.default_rng(3)
+    sketches = rng.integers(0, 256, (300, 16), dtype=np.uint8)
+    sketches[::3] = sketches[0]
+    asked = rng.random(300) < 0.5
+    asked[-step:] = False
+    near = bitslice.near_at(bitslice.planes(sketches), step, asked, 52)
+    distance = np.bitwise_count(sketches[:-step] ^ sketches[step:]).sum(axis=1)
+    assert (near[:-step] == (asked[:-step] & (distance <= 52))).all() and not near[-step:].any()
+    across = bitslice.near_across(bitslice.planes(sketches), 300, bitslice.planes(sketches[:70]), 70, 52)
+    assert (across == (np.bitwise_count(sketches[None] ^ sketches[:70, None]).sum(axis=2) <= 52)).all()
+
+
+def test_large_buckets_are_packed_and_compared_in_cells(spark, monkeypatch):
+    """Texts of one family fill their buckets beyond a block; cells give the links that one comparison in place gives."""
+    rng = np.random.default_rng(4)
+    common = rng.integers(1, 1 << 32, 60, dtype=np.uint32)
+    rows = [(i, i + 1, np.unique(np.concatenate([common, rng.integers(1, 1 << 32, 20, dtype=np.uint32)])).tobytes()) for i in range(300)]
+    df = spark.createDataFrame(rows, "ordinal long, text_key long, runs binary")
+    packed = {(r.a, r.b) for r in nearcopies.links(df).collect()}
+    exact = set()
+    sets = [np.frombuffer(r[2], dtype=np.uint32) for r in rows]
+    for i in range(300):
+        for j in range(i + 1, 300):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if both * 2 >= len(sets[i]) + len(sets[j]) - both:
+                exact.add((i + 1, j + 1))
+    assert packed <= exact and len(packed) >= 0.99 * len(exact) > 10_000
+    recall = nearcopies.link_recall(df, nearcopies.links(df)).first()
+    assert recall.queries == 15 and recall.recall >= 0.99
+
+
+def test_text_of_a_third_of_all_rows_is_banded_once_a_task(spark):
+    runs = np.arange(50, dtype=np.uint32).tobytes()
+    df = spark.createDataFrame([(i, 7, runs) for i in range(5000)], "ordinal long, text_key long, runs binary").coalesce(1)
+    assert df.select("text_key", "runs").mapInPandas(nearcopies._bands, "band long, text_key long, s0 long, s1 long").count() == nearcopies.BANDS

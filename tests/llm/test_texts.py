@@ -18,8 +18,18 @@ def test_table(text, want):
 
 def test_trie_reads_lookalikes_at_no_cost():
     trie = lookalikes.Trie({"checkpoint": 5, "The": 9, "ranker": 2})
-    assert trie.spelling("chесkpоint") == "checkpoint" and trie.spelling("Тhе") == "The" and trie.spelling("ran​ker") == "ranker"
-    assert trie.ends("chockpoint") == {} and trie.spelling("Ｎｅｗ") == "New"
+    spelled = lambda t: trie.spelling(t)[0]
+    assert spelled("chесkpоint") == "checkpoint" and spelled("Тhе") == "The" and spelled("ran\u200bker") == "ranker"
+    assert trie.ends("chockpoint") == {} and spelled("Ｎｅｗ") == "New" and trie.spelling("Ｎｅｗ")[1] is None
+
+
+def test_automaton_weighs_its_steps():
+    trie = lookalikes.Trie({"cafe": 50, "café": 1, "token": 3, "hoc": 9, "нос": 1})
+    assert trie.spelling("cafe\u0301") == ("café", 0.0)  # a split accent read whole is cheaper than one dropped
+    assert trie.spelling("тoken") == ("token", lookalikes.LOOSE)  # a loose look-alike costs something, and the table would have left it
+    assert trie.spelling("нoс") == ("нос", 0.0)  # a Latin letter inside a Cyrillic word
+    assert trie.ends("tokem") == {} and lookalikes.by_table("тoken") == "тoken"
+    assert lookalikes.odd_tokens("Вектор agent ＡＩ ran\u00adker ☀️ naïve") == ["ＡＩ", "ran\u00adker"]
 
 
 def test_canonical_rows(spark):
@@ -61,6 +71,17 @@ def test_truncation_empty(spark):
     assert truncation.score(spark.createDataFrame([], "rec_table string, ordinal long, source string, text string")).count() == 0
 
 
+def test_long_words_contract_as_the_library_does():
+    import tiktoken
+
+    path, pattern = tokens.default_vocabulary()
+    ranks = tokens.load_ranks(path)
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(8)
+    for word in ("a" * 3000, "".join(rng.choice(list("abcdefgh"), 2500)), "ü字" * 700, "x"):
+        assert tokens.contract(word.encode(), ranks) == library.encode_ordinary(word) or not library.encode_ordinary(word)
+
+
 TEXTS = ["Hello, world's 42 tests", "", None, "  spaced\n\n out\t", "中文和 English 混排，标点。", "náive 👩‍💻", "a" * 5000, "<|endoftext|>", "über façade", " 　﻿"]
 
 
