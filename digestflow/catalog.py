@@ -167,7 +167,7 @@ _RANKS = " ".join(f"WHEN '{k}' THEN {v}" for k, v in linkage.CHANNEL_RANK.items(
         row_number() OVER (PARTITION BY story ORDER BY published_us DESC NULLS LAST, ordinal) AS d FROM g JOIN t USING (ordinal))
       SELECT story, substr(sha256(min(page) FILTER (p = 1)), 1, 16) AS event_id, min(ordinal) FILTER (p = 1) AS primary_ordinal, min(page) FILTER (p = 1) AS canonical_url, min(title) FILTER (p = 1) AS title,
         max(published_us) AS published_us, coalesce(min(source_time_kind) FILTER (d = 1 AND published_us IS NOT NULL), min(source_time_kind) FILTER (p = 1)) AS source_time_kind,
-        string_agg(ordinal::VARCHAR, ',' ORDER BY ordinal) AS members, count(DISTINCT source) AS sources FROM m GROUP BY story""",
+        count(*) AS members, count(DISTINCT source) AS sources FROM m GROUP BY story""",
 )
 def story_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _typed(spark, sf_dir)

@@ -66,19 +66,19 @@ def story_groups(items: DataFrame) -> DataFrame:
 
 
 def events(items: DataFrame, groups: DataFrame) -> DataFrame:
-    """One row for each story: its primary item, members in order, and time and kind of the latest dated member.
+    """One row for each story: its primary item, the number of members, and time and kind of the latest dated member.
 
-    The primary has the best tier, then channel rank, then the longest summary, then the least ordinal. One aggregation folds a group; only
-    the ordinals of the members are collected.
+    The primary has the best tier, then channel rank, then the longest summary, then the least ordinal. One aggregation folds a group and collects
+    nothing of it; which items are members is the relation story_groups.
     """
     rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in CHANNEL_RANK.items() for x in p]), F.col("source_channel")), F.lit(9))
     joined = items.join(groups, "ordinal")
     best = F.min(F.struct(F.col("source_tier"), rank.alias("r"), (-F.length(F.coalesce("summary", F.lit("")))).alias("l"), F.col("ordinal"), F.col("page"), F.col("title"), F.col("source_time_kind")))
     latest = F.max(F.when(F.col("published_us").isNotNull(), F.struct(F.col("published_us"), (-F.col("ordinal")).alias("o"), F.col("source_time_kind"))))
-    folded = joined.groupBy("story").agg(best.alias("p"), latest.alias("d"), F.sort_array(F.collect_list("ordinal")).alias("members"), F.count_distinct("source").alias("sources"))
+    folded = joined.groupBy("story").agg(best.alias("p"), latest.alias("d"), F.count("*").alias("members"), F.count_distinct("source").alias("sources"))
     return folded.select(
         "story", F.substring(F.sha2("p.page", 256), 1, 16).alias("event_id"), F.col("p.ordinal").alias("primary_ordinal"), F.col("p.page").alias("canonical_url"), F.col("p.title").alias("title"),
-        F.col("d.published_us").alias("published_us"), F.coalesce("d.source_time_kind", "p.source_time_kind").alias("source_time_kind"), F.array_join("members", ",").alias("members"), F.col("sources"),
+        F.col("d.published_us").alias("published_us"), F.coalesce("d.source_time_kind", "p.source_time_kind").alias("source_time_kind"), F.col("members"), F.col("sources"),
     )
 
 
