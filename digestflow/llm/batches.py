@@ -198,8 +198,8 @@ def half_keys(titles: DataFrame) -> DataFrame:
     return titles.select("title_node", "units").mapInPandas(_halves, "half long, title_node long")
 
 
-def title_links(titles: DataFrame, ordinary: DataFrame | None = None, halved: bool = True) -> DataFrame:
-    """titles(title_node, units, plain), one row per node, to (a, b): links whose components join all matching titles.
+def match_keys(titles: DataFrame, ordinary: DataFrame | None = None, halved: bool = True) -> DataFrame:
+    """titles(title_node, units, plain), one row per node, to (key, title_node), written: two titles match if they share a key.
 
     ordinary(word): the ordinary words, by default those of the titles. halved: whether titles that share no half are left aside first.
     A slot or key of many titles is folded to its least title on the map side before anything is moved.
@@ -213,11 +213,23 @@ def title_links(titles: DataFrame, ordinary: DataFrame | None = None, halved: bo
     full = slots.groupBy("slot").agg(F.min("title_node").alias("_lo"), F.max("title_node").alias("_hi")).where("_lo <> _hi").select("slot")
     known = (ordinary_words(titles) if ordinary is None else ordinary).select("word", F.lit(True).alias("ordinary"))
     worded = slots.join(full, "slot", "left_semi").join(known, "word", "left").select("slot", "word", F.coalesce("ordinary", F.lit(False)).alias("ordinary"), "title_node")
-    keyed = cut(worded.mapInPandas(_slips, "key long, title_node long"), "keyed")
+    return cut(worded.mapInPandas(_slips, "key long, title_node long"), "keyed")
+
+
+def title_links(titles: DataFrame, ordinary: DataFrame | None = None, halved: bool = True) -> DataFrame:
+    """titles as in match_keys to (a, b): links whose components join all matching titles, each title of a key to the least one."""
+    keyed = match_keys(titles, ordinary, halved)
     least = keyed.groupBy("key").agg(F.min("title_node").alias("b"), F.max("title_node").alias("_hi")).where("b <> _hi").select("key", "b")
     return keyed.join(least, "key").where("title_node <> b").select(F.col("title_node").alias("a"), "b").distinct()
 
 
+def matching_titles(titles: DataFrame, asked: DataFrame) -> DataFrame:
+    """(id, neighbour): all titles that match a title of asked(title_node), a bounded query set."""
+    keyed = match_keys(titles)
+    mine = keyed.join(asked.select("title_node").distinct(), "title_node", "left_semi").select("key", F.col("title_node").alias("id"))
+    return mine.join(keyed, "key").where("id <> title_node").select("id", F.col("title_node").alias("neighbour")).distinct()
+
+
 def url_node(url: Column) -> Column:
     """Node of a page; null for a null or blank URL."""
     return F.when(F.trim(url) != "", F.xxhash64(F.lit("u"), canonical_url(url)))

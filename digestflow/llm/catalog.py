@@ -224,3 +224,19 @@ def p4_index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, points, shards = _indexed(spark, sf_dir)
     asked = cut(points.where("id >= 0 and id % 20 = 0"), "asked")
     return graphindex.recall(graphindex.search(shards, asked), graphindex.search(shards, asked, exhaustive=True))
+
+
+@register("p4_graph_recall")
+def p4_graph_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph against the title relation of p4_found: distinct normalised titles as nodes, all matches of the titles first seen in a row divisible by 20."""
+    items = table(spark, sf_dir, "raw_items").select("ordinal", "url", "title", "discovered_at")
+    past = table(spark, sf_dir, "history_titles").select(F.lit(-1).cast("long").alias("ordinal"), F.lit(-1).cast("long").alias("day"), F.lit(0).cast("long").alias("url_node"), "title")
+    rows = batches.normalised(batches.rows_of(items).unionByName(past), batches.site_names(table(spark, sf_dir, "sources"))).where("title_node is not null")
+    titles = cut(rows.groupBy("title_node").agg(F.min("units").alias("units"), F.min("plain").alias("plain"), F.min("ordinal").alias("first"), F.min("day").alias("day")), "titles")
+    days = [r[0] for r in titles.select("day").distinct().orderBy("day").collect()]  # one value for each day
+    segment = F.try_element_at(F.create_map(*[F.lit(x) for pair in graphindex.compaction(days).items() for x in pair]), F.col("day")) if days else F.col("day")
+    points = cut(graphindex.sketched(titles.select(F.col("title_node").alias("id"), segment.cast("long").alias("segment"), F.col("units").alias("title"))), "points")
+    asked = titles.where("first >= 0 and first % 20 = 0").select("title_node")
+    due = cut(batches.matching_titles(titles.select("title_node", "units", "plain"), asked), "due")
+    queries = cut(points.join(due.select("id").distinct(), "id", "left_semi"), "queries")
+    return graphindex.pair_recall(graphindex.search(graphindex.build_index(points), queries, k=64, radius=48), due)

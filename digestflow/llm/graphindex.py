@@ -170,7 +170,7 @@ def build_index(points: DataFrame) -> DataFrame:
     return cut(placed.select("id", "segment", "s0", "s1", "part").groupBy("segment", "part").applyInPandas(_shard, SHARD_SCHEMA), "shards")
 
 
-def _search(exhaustive: bool, k: int):
+def _search(exhaustive: bool, k: int, radius: int):
     @skip_empty
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -187,17 +187,17 @@ def _search(exhaustive: bool, k: int):
                         at = np.argpartition(d, min(k, d.shape[1] - 1), axis=1)[:, : k + 1]
                         d = np.take_along_axis(d, at, 1)
                     else:
-                        at, d = walk(points, graph, part, int(row.beam), len(points))
+                        at, d = walk(points, graph, part, max(int(row.beam), k), len(points))
                     mine = np.repeat(q_ids[start : start + 256], at.shape[1])
                     theirs = ids[at.ravel()]
-                    good = (at.ravel() >= 0) & (d.ravel() <= RADIUS) & (mine != theirs)
+                    good = (at.ravel() >= 0) & (d.ravel() <= radius) & (mine != theirs)
                     yield pd.DataFrame({"id": mine[good], "neighbour": theirs[good], "distance": d.ravel()[good].astype(np.int32)})
 
     return run
 
 
-def search(shards: DataFrame, queries: DataFrame, k: int = 10, exhaustive: bool = False) -> DataFrame:
-    """(id, neighbour, distance): the k nearest of each query row over all shards, within RADIUS; ties by neighbour.
+def search(shards: DataFrame, queries: DataFrame, k: int = 10, exhaustive: bool = False, radius: int = RADIUS) -> DataFrame:
+    """(id, neighbour, distance): the k nearest of each query row over all shards, within the radius; ties by neighbour.
 
     Queries stand in blocks, and every block visits every shard.
     """
@@ -206,7 +206,7 @@ def search(shards: DataFrame, queries: DataFrame, k: int = 10, exhaustive: bool
     slots = max(1, shards.count())
     numbered = shards.withColumn("slot", F.pmod(F.xxhash64("segment", "part"), F.lit(slots)).cast("int"))
     visits = blocks.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    found = numbered.join(visits, "slot").select("ids", "points", "graph", "beam", "asked").mapInPandas(_search(exhaustive, k), "id long, neighbour long, distance int").distinct()
+    found = numbered.join(visits, "slot").select("ids", "points", "graph", "beam", "asked").mapInPandas(_search(exhaustive, k, radius), "id long, neighbour long, distance int").distinct()
     place = F.row_number().over(W.partitionBy("id").orderBy("distance", "neighbour"))
     return found.withColumn("_p", place).where(F.col("_p") <= k).drop("_p")
 
@@ -227,3 +227,9 @@ def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
     want = exact.groupBy("id", "distance").agg(F.count("*").alias("due"))
     joined = want.join(mine, ["id", "distance"], "left").withColumn("hit", F.least("due", F.coalesce("got", F.lit(0))))
     return joined.agg(F.count_distinct("id").alias("queries"), F.coalesce(F.sum("due"), F.lit(0)).alias("expected"), F.coalesce(F.sum("hit"), F.lit(0)).alias("hits")).withColumn("recall", F.when(F.col("expected") > 0, F.round(F.col("hits") / F.col("expected"), 6)).otherwise(1.0))
+
+
+def pair_recall(found: DataFrame, due: DataFrame) -> DataFrame:
+    """One row (queries, expected, hits, recall): how many of the pairs due(id, neighbour) the search found."""
+    joined = due.join(found.select("id", "neighbour", F.lit(1).alias("hit")).distinct(), ["id", "neighbour"], "left")
+    return joined.agg(F.count_distinct("id").alias("queries"), F.count("*").alias("expected"), F.coalesce(F.sum("hit"), F.lit(0)).alias("hits")).withColumn("recall", F.when(F.col("expected") > 0, F.round(F.col("hits") / F.col("expected"), 6)).otherwise(1.0))

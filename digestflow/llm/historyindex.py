@@ -75,10 +75,8 @@ class HistoryIndex:
         """A table over all segments in force; with keys(key) only the buckets the keys fall into."""
         columns, schema = TABLES[table][0], TABLES[table][1]
         segments = [s["name"] for s in self.manifest()["segments"] if s["rows"]]
-        if not segments:
-            return self.spark.createDataFrame([], schema)
         stored = self.spark.read.schema(f"{schema}, bucket int")
-        out = None
+        out = None if segments else self.spark.createDataFrame([], f"{schema}, bucket int")
         for s in segments:  # as many as levels times FAN
             part = stored.option("basePath", f"{self.path}/{s}/{table}").parquet(f"{self.path}/{s}/{table}")
             out = part if out is None else out.unionByName(part)
@@ -174,7 +172,7 @@ class HistoryIndex:
             name = f"segment-{manifest['number'] + 1}-{uuid.uuid4().hex[:8]}"
             held = [s["name"] for s in merged if s["rows"]]
             for table, (_, schema) in TABLES.items():
-                parts = [self.spark.read.schema(schema).parquet(f"{self.path}/{s}/{table}") for s in held]
+                parts = [self.spark.read.schema(schema).parquet(f"{self.path}/{s}/{table}").select([c.split()[0] for c in schema.split(", ")]) for s in held]
                 if parts:
                     union = parts[0]
                     for p in parts[1:]:
