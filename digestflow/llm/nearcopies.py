@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ BANDS, ROWS, SKETCH_BITS = 42, 3, 128
 THRESHOLD, RADIUS = 0.5, 52
 BLOCK, CELL = 256, 1_024
 REMEMBERED = 200_000
-MAX_FILTER_BITS = 1 << 26
+MAX_FILTER_BITS = 1 << 25
 _WORD = re.compile(r"[^\W_]+")
 _ASCII_BREAKS = {c: " " for c in range(128) if not chr(c).isalnum()}
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
@@ -105,7 +106,9 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         batch = batch[[k not in told for k in batch["text_key"]]]
         if not len(batch):
             continue
-        told = told | set(batch["text_key"]) if len(told) < REMEMBERED else set(batch["text_key"])
+        if len(told) > REMEMBERED:
+            told.clear()
+        told.update(batch["text_key"])
         mins = np.stack([min_hashes(np.frombuffer(r, dtype=np.uint32)) for r in batch["runs"]])
         grouped = mins[:, : BANDS * ROWS].reshape(len(mins), BANDS, ROWS)
         band = grouped[:, :, 0].copy()
@@ -116,15 +119,17 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"band": band.ravel(), "text_key": np.repeat(batch["text_key"].to_numpy(), BANDS), "s0": np.repeat(sketch[:, 0], BANDS), "s1": np.repeat(sketch[:, 1], BANDS)})
 
 
-def _joined(batches: Iterator[pd.DataFrame], rows: int = 200_000) -> Iterator[np.ndarray]:
+def _joined(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[np.ndarray]:
     """The batches as (band, text_key, s0, s1) arrays of about `rows` rows."""
     held: list[np.ndarray] = []
+    size = 0
     for batch in batches:
-        held.append(batch[["band", "text_key", "s0", "s1"]].to_numpy(dtype=np.int64))
-        if sum(map(len, held)) >= rows:
+        held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1))
+        size += batch.num_rows
+        if size >= rows:
             yield np.concatenate(held)
-            held = []
-    if held:
+            held, size = [], 0
+    if size:
         yield np.concatenate(held)
 
 
@@ -142,52 +147,60 @@ def _bucket_pairs(part: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _pack(part: np.ndarray) -> pd.DataFrame:
+_NEAR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("band", pa.int64()), ("keys", pa.binary()), ("planes", pa.binary())])
+
+
+def _pack(part: np.ndarray) -> pa.RecordBatch:
     """The rows of one large bucket as blocks of up to CELL texts: their keys and their planes."""
     blocks = [part[i : i + CELL] for i in range(0, len(part), CELL)]
-    vertical = [bitslice.planes(np.ascontiguousarray(p[:, 2:]).view(np.uint8)) for p in blocks]
-    return pd.DataFrame({"a": 0, "b": 0, "band": part[0, 0], "keys": [np.ascontiguousarray(p[:, 1]).tobytes() for p in blocks], "planes": [v.tobytes() for v in vertical]})
+    n, zeros = len(blocks), np.zeros(len(blocks), dtype=np.int64)
+    keys, vertical = [np.ascontiguousarray(p[:, 1]).tobytes() for p in blocks], [bitslice.planes(np.ascontiguousarray(p[:, 2:]).view(np.uint8)).tobytes() for p in blocks]
+    return pa.RecordBatch.from_arrays([pa.array(zeros), pa.array(zeros), pa.array(np.full(n, part[0, 0])), pa.array(keys, pa.binary()), pa.array(vertical, pa.binary())], schema=_NEAR)
 
 
-@skip_empty
-def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sorted(rows: np.ndarray) -> np.ndarray:
+    """Rows sorted by band and text, each text once in a bucket: copies come from several tasks."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    return rows[np.concatenate(([True], (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])))]
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; larger buckets go out as packed blocks (band, keys, planes)."""
     held = np.empty((0, 4), dtype=np.int64)
     large: int | None = None
 
-    def close(part: np.ndarray) -> pd.DataFrame:
-        found = _bucket_pairs(part)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1], "band": 0, "keys": None, "planes": None})
-
-    def finish(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+    def finish(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(rows):
+            return
+        beside = np.concatenate(([False], rows[1:, 0] == rows[:-1, 0]))
+        rows = rows[beside | np.append(beside[1:], False)]  # a text alone in its bucket meets none
+        if not len(rows):
+            return
+        rows = _sorted(rows)
         starts = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
         sizes = np.diff(np.append(starts, len(rows)))
-        big = np.repeat(sizes > BLOCK, sizes)
-        yield close(rows[~big])
+        found = _bucket_pairs(rows[np.repeat(sizes <= BLOCK, sizes)])
+        none = pa.nulls(len(found), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(np.zeros(len(found), dtype=np.int64)), none, none], schema=_NEAR)
         for start, size in zip(starts[sizes > BLOCK], sizes[sizes > BLOCK], strict=True):
             yield _pack(rows[start : start + size])
 
     for rows in _joined(batches):
         held = np.concatenate([held, rows])
-        held = held[np.lexsort((held[:, 1], held[:, 0]))] if large is None else held
-        held = held[np.concatenate(([True], (held[1:, 0] != held[:-1, 0]) | (held[1:, 1] != held[:-1, 1])))]  # copies from several tasks
         if large is not None:
             more = held[:, 0] == large
-            if more.all():
-                yield _pack(held)
-                held = held[:0]
-                continue
             if more.any():
-                yield _pack(held[more])
-            held, large = held[~more], None
-            held = held[np.lexsort((held[:, 1], held[:, 0]))]
+                yield _pack(_sorted(held[more]))
+            held = held[~more]
+            if not len(held):
+                continue
+            large = None
         last = held[:, 0] == held[-1, 0]  # the last bucket may go on
-        if not last.all():
-            yield from finish(held[~last])
+        yield from finish(held[~last])
         held = held[last]
         if len(held) > 64 * CELL:  # it does not pile up
             large = int(held[0, 0])
-            yield _pack(held)
+            yield _pack(_sorted(held))
             held = held[:0]
     if len(held):
         yield from finish(held)
@@ -255,7 +268,7 @@ def _wanted(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 def candidates(texts: DataFrame) -> DataFrame:
     """(a, b): pairs of different texts(text_key, runs) that share a band and whose sketches lie within the radius."""
     banded = texts.mapInPandas(_bands, "band long, text_key long, s0 long, s1 long").repartition("band").sortWithinPartitions("band")
-    near = cut(banded.mapInPandas(_buckets, "a long, b long, band long, keys binary, planes binary"), "near")
+    near = cut(banded.mapInArrow(_buckets, "a long, b long, band long, keys binary, planes binary"), "near")
     blocks = near.where("keys is not null").select("band", F.xxhash64("keys").alias("i"), "keys", "planes")
     left, right = (blocks.select("band", F.col("i").alias(f"i_{s}"), F.col("keys").alias(f"keys_{s}"), F.col("planes").alias(f"planes_{s}")) for s in "xy")
     cells = left.join(right, "band").where("i_x <= i_y").select("keys_x", "planes_x", "keys_y", "planes_y", F.xxhash64("band", "i_x", "i_y").alias("cell")).repartition("cell")

@@ -190,8 +190,11 @@ def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 keys.discard(None)
                 for row in [("size", host, host, 0), *(("line", k, host, 0) for k in keys)]:
                     held[row] = held.get(row, 0) + 1
-        rows = [(*k, 1) for k in seen] + [(*k, n) for k, n in held.items()]
-        yield pd.DataFrame(rows, columns=["style", "feature", "host", "story", "n"]).astype({"feature": "int64", "host": "int64", "story": "int64", "n": "int64"})
+        keys = [*seen, *held]
+        style, *numbers = zip(*keys, strict=True) if keys else ((), (), (), ())
+        counts = np.concatenate([np.ones(len(seen), dtype=np.int64), np.fromiter(held.values(), dtype=np.int64, count=len(held))])
+        columns = {name: np.array(values, dtype=np.int64) for name, values in zip(("feature", "host", "story"), numbers, strict=True)}
+        yield pd.DataFrame({"style": np.array(style, dtype=object), **columns, "n": counts})
 
 
 def _own_key(feature: int, host: int) -> int:
