@@ -99,7 +99,7 @@ class Rows:
         else:
             left = self.role[i] == 0
             a, b = np.where(left, a, b), np.where(left, b, a)
-        return np.unique(np.stack([a, b], axis=1), axis=0)
+        return np.stack([a, b], axis=1)
 
 
 _COLUMNS = ("role", "ordinal", "at", "size", "b0", "b1", "b2", "b3")
@@ -120,8 +120,8 @@ def _compare(jaccard: float, containment: float, window: int | None, mirrored: b
             good = alive[whole.passing(alive, whole, alive + step, jaccard, containment, window, mirrored)]
             found.append(whole.pairs(good, whole, good + step, mirrored))
             step += 1
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "key": 0, "salt": np.int32(0), "n0": np.int32(0), "rows": None})
+        pairs = pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates()
+        return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "key": 0, "salt": np.int32(0), "n0": np.int32(0), "rows": None})
 
     def packed(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
         for (key, salt), block in part.groupby(["key", "salt"], sort=False):
