@@ -144,13 +144,13 @@ class Trie:
             ends[word] = ends.get(word, 0) + uses
 
     @staticmethod
-    def readings(token: str) -> list[dict[str, float]]:
+    def readings(token: str) -> Iterator[dict[str, float]]:
         """For each position of the token the strings it may be read as, with their cost; an ignorable is read as nothing."""
         styles = [unicodedata.normalize("NFKC", ch) for ch in token]
         scripts = [_script(s[:1]) for s in styles]
         latin = scripts.count("l")
-        loose = latin * 2 >= len(scripts) - scripts.count("")  # a loose twin is believed only in a mostly Latin word
-        out: list[dict[str, float]] = []
+        letters = len(scripts) - scripts.count("")
+        loose = latin * 2 >= letters  # a loose twin is believed only in a mostly Latin word
         for ch, style in zip(token, styles, strict=True):
             options: dict[str, float] = {}
 
@@ -173,14 +173,13 @@ class Trie:
                         elif c in LATIN_TWINS and loose:
                             offer(LATIN_TWINS[c], LOOSE)
                     for twins in (CYRILLIC_TWINS, GREEK_TWINS):
-                        if latin < len(scripts) - scripts.count("") and style in twins:
+                        if latin < letters and style in twins:
                             offer(twins[style].lower(), 0.0)
                 bare = "".join(c for c in unicodedata.normalize("NFD", style.lower()) if not unicodedata.combining(c))
                 if bare != style.lower():
                     offer(bare, DROPPED)
                 options.pop("", None)
-            out.append(options)
-        return out
+            yield options  # a walk that has ended asks for no more
 
     def ends(self, token: str) -> dict[str, tuple[float, int]]:
         """Vocabulary words within the budget from a token, with their cost and uses."""
