@@ -35,8 +35,9 @@ def closing_times(totals: DataFrame, wanted: DataFrame) -> DataFrame:
     past = order.rowsBetween(W.unboundedPreceding, -1)
     spent, open_ = F.coalesce(F.sum("cap").over(past), F.lit(0.0)), F.sum("share").over(order.rowsBetween(0, W.unboundedFollowing))
     served = dry.select("mix_name", "budget", "at", spent.alias("spent"), open_.alias("open"))
-    reached = served.where(F.col("spent") + F.col("at") * F.col("open") >= F.col("budget"))
-    return reached.groupBy("mix_name").agg(F.min((F.col("budget") - F.col("spent")) / F.col("open")).alias("closes"))
+    # the sum is concave, so it lies on or below each of its pieces prolonged, and the last of their crossings with the budget is its own
+    crossing = F.max((F.col("budget") - F.col("spent")) / F.col("open"))
+    return served.groupBy("mix_name").agg(F.when(F.max(F.col("spent") + F.col("at") * F.col("open")) >= F.max("budget"), crossing).alias("closes"))
 
 
 def finish_times(sized: DataFrame, targets: DataFrame, seed: int = SEED, buckets: int = BUCKETS) -> DataFrame:
