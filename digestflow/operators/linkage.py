@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from digestflow.functions import text
-from digestflow.operators import setjoin
+from digestflow.operators import windowjoin
 from digestflow.operators.components import connected_components
 from digestflow.operators.items import HOURS, typed_items_sql
 from digestflow.session import cut
@@ -26,23 +26,9 @@ def tokenised(items: DataFrame) -> DataFrame:
 
 def similar_pairs(items: DataFrame, window_hours: int = WINDOW_HOURS) -> DataFrame:
     """(a, b, common, jaccard): items within the window that share an identifier, or enough tokens unless both are releases of one source."""
-    rows = cut(tokenised(items), "tokenised")
-    window = window_hours * HOURS
-    by_tokens = setjoin.self_candidates(rows.select("ordinal", "at", "tokens"), JACCARD, CONTAINMENT, window)
-    # identifiers meet by id and time bucket, so one id of many years is no hot key
-    bucket = F.floor(F.col("at") / F.lit(window).cast("long"))
-    named = rows.select("ordinal", "at", F.explode("ids").alias("id"), bucket.alias("w"))
-    guests = named.withColumn("w", F.explode(F.array(F.col("w"), F.col("w") + 1))).alias("x")
-    by_id = guests.join(named.alias("y"), (F.col("x.id") == F.col("y.id")) & (F.col("x.w") == F.col("y.w")) & (F.col("x.ordinal") != F.col("y.ordinal")) & (F.abs(F.col("x.at") - F.col("y.at")) <= F.lit(window).cast("long")))
-    by_id = by_id.select(F.least("x.ordinal", "y.ordinal").alias("a"), F.greatest("x.ordinal", "y.ordinal").alias("b"))
-    pairs = by_tokens.unionByName(by_id).distinct()
-    side = lambda s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("ordinal", "source", "source_channel", "ids", "tokens")])
-    full = pairs.join(side("a"), F.col("a") == F.col("ordinal_a")).join(side("b"), F.col("b") == F.col("ordinal_b"))
-    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    least, union = F.least(F.size("tokens_a"), F.size("tokens_b")), F.size("tokens_a") + F.size("tokens_b") - common
-    close = (least > 0) & (common >= F.lit(JACCARD) * union) & (common >= F.lit(CONTAINMENT) * least)
-    series = (F.col("source_a") == F.col("source_b")) & (F.col("source_channel_a") == "release")
-    return full.where(F.arrays_overlap("ids_a", "ids_b") | (~series & close)).select("a", "b", common.alias("common"), F.round(common / union, 6).alias("jaccard"))
+    rows = tokenised(items).withColumn("release", F.col("source_channel") == "release")
+    pairs = windowjoin.self_pairs(rows, JACCARD, CONTAINMENT, window_hours * HOURS)
+    return pairs.select("a", "b", "common", F.round(F.try_divide("common", F.col("size_a") + F.col("size_b") - F.col("common")), 6).alias("jaccard"))
 
 
 def similar_pairs_sql() -> str:

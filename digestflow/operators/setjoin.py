@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from digestflow.operators import windowjoin
 from digestflow.session import cut
 
 BLOCK = 1_000
@@ -192,10 +193,9 @@ def _candidates(postings: DataFrame, jaccard: float, containment: float, window:
 
 
 def self_candidates(rows: DataFrame, jaccard: float, containment: float, window: int) -> DataFrame:
-    """(a, b) with a < b of rows(ordinal, at, tokens) within the window; rows without tokens are in no pair. Ordinals are not negative."""
-    hashed = _hashed(rows, False)
-    shared = rows.sparkSession.sparkContext.broadcast(frequencies(hashed))  # SLOTS numbers
-    return _candidates(hashed.mapInPandas(_postings(shared, jaccard, window, None), _POSTING), jaccard, containment, window, True)
+    """(a, b) with a < b of rows(ordinal, at, tokens) within the window that are alike enough; rows without tokens are in no pair."""
+    none = F.array().cast("array<string>")
+    return windowjoin.self_pairs(rows.select("ordinal", "at", "tokens", F.lit("").alias("source"), F.lit(False).alias("release"), none.alias("ids")), jaccard, containment, window).select("a", "b")
 
 
 def cross_candidates(left: DataFrame, right: DataFrame, jaccard: float, containment: float) -> DataFrame:
