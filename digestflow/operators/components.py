@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +41,40 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = mark
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+
+
+def _contracted(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) for all nodes but the least."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    u, v = ends[: len(u)], ends[len(u) :]
+    label = np.arange(len(nodes))
+    while len(u):
+        x, y = label[u], label[v]
+        apart = x != y
+        u, v, x, y = u[apart], v[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(further := label[label], label):
+            label = further
+    other = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[other], nodes[label[other]]
+
+
+def forest(edges: DataFrame, held: int = 1_000_000) -> DataFrame:
+    """edges(a, b) of whole numbers with fewer edges and the same components: each task contracts up to `held` edges at a time to one for each node but the least of a component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= held:
+                parts = [_contracted(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
+                size = len(parts[0][0])
+                if 2 * size > held:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], names=["a", "b"])
+                    parts, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _contracted(*(np.concatenate(x) for x in zip(*parts, strict=True)))], names=["a", "b"])
+
+    return edges.where("a is not null and b is not null").select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(run, "a long, b long")

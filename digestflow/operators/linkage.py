@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from digestflow.functions import text
 from digestflow.operators import windowjoin
-from digestflow.operators.components import connected_components
+from digestflow.operators.components import connected_components, forest
 from digestflow.operators.items import HOURS, typed_items_sql
 from digestflow.session import cut
 
@@ -44,11 +44,11 @@ def similar_pairs_sql() -> str:
 
 def story_groups(items: DataFrame) -> DataFrame:
     """(ordinal, story): items of one page or linked by similarity, directly or through others; story is the least ordinal of the group."""
-    items = cut(items.select("ordinal", "source", "source_channel", "title", "summary", "published_us", "discovered_us", "page"), "items")
-    pages = items.groupBy("page").agg(F.min("ordinal").alias("b"))
-    same_page = items.select("ordinal", "page").join(pages, "page").where("ordinal <> b").select(F.col("ordinal").alias("a"), "b")
-    found = connected_components(similar_pairs(items).select("a", "b").unionByName(same_page))
-    return items.select("ordinal").join(found, F.col("ordinal") == F.col("node"), "left").select("ordinal", F.coalesce("component", "ordinal").alias("story"))
+    paged = cut(items.select("ordinal", "page"), "pages")
+    pages = paged.groupBy("page").agg(F.min("ordinal").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    same_page = paged.join(pages, "page").where("ordinal <> b").select(F.col("ordinal").alias("a"), "b")
+    found = connected_components(forest(similar_pairs(items).select("a", "b")).unionByName(same_page))
+    return paged.select("ordinal").join(found, F.col("ordinal") == F.col("node"), "left").select("ordinal", F.coalesce("component", "ordinal").alias("story"))
 
 
 def events(items: DataFrame, groups: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from digestflow.operators import linkage, windowjoin
+from digestflow.operators.components import connected_components, forest
 from digestflow.session import fresh_folder
 
 SCHEMA = "ordinal long, at long, tokens array<string>, source string, release boolean, ids array<string>"
@@ -64,6 +65,16 @@ def test_join_in_one_process(monkeypatch):
         assert sorted(got) == want and len(want) > 30
 
 
+def test_forest_keeps_components(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)] + [(None, 3), (5, 5)] + [(7, k) for k in range(400, 460)] * 12
+    df = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    for held in (1, 40, 1_000_000):
+        less = forest(df, held)
+        assert set(map(tuple, connected_components(less).collect())) == set(map(tuple, connected_components(df).collect()))
+    assert forest(df).count() < df.count() / 1.5
+
+
 def folder_bytes(spark):
     from pathlib import Path
 
@@ -71,7 +82,7 @@ def folder_bytes(spark):
     return {p: p.stat().st_size for p in root.rglob("*.parquet")}
 
 
-def test_pairs_write_nothing(spark):
+def test_pairs_write_nothing_and_groups_no_texts(spark):
     """What the steps leave on the shared disk: before, posting candidates and whole items."""
     rng = random.Random(2)
     words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)]
@@ -81,3 +92,5 @@ def test_pairs_write_nothing(spark):
     before = folder_bytes(spark)
     pairs = linkage.similar_pairs(df)
     assert pairs.count() > 0 and folder_bytes(spark).keys() == before.keys()
+    linkage.story_groups(df).count()
+    assert sum(v for p, v in folder_bytes(spark).items() if p not in before) < 100_000
