@@ -58,8 +58,9 @@ def events(items: DataFrame, groups: DataFrame) -> DataFrame:
     nothing of it; which items are members is the relation story_groups.
     """
     rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in CHANNEL_RANK.items() for x in p]), F.col("source_channel")), F.lit(9))
-    joined = items.join(groups, "ordinal")
-    best = F.min(F.struct(F.col("source_tier"), rank.alias("r"), (-F.length(F.coalesce("summary", F.lit("")))).alias("l"), F.col("ordinal"), F.col("page"), F.col("title"), F.col("source_time_kind")))
+    brief = items.select("ordinal", "source", "source_tier", "source_channel", "source_time_kind", "published_us", "page", "title", F.length(F.coalesce("summary", F.lit(""))).alias("length"))
+    joined = brief.join(groups, "ordinal")
+    best = F.min(F.struct(F.col("source_tier"), rank.alias("r"), (-F.col("length")).alias("l"), F.col("ordinal"), F.col("page"), F.col("title"), F.col("source_time_kind")))
     latest = F.max(F.when(F.col("published_us").isNotNull(), F.struct(F.col("published_us"), (-F.col("ordinal")).alias("o"), F.col("source_time_kind"))))
     folded = joined.groupBy("story").agg(best.alias("p"), latest.alias("d"), F.count("*").alias("members"), F.count_distinct("source").alias("sources"))
     return folded.select(

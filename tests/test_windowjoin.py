@@ -94,3 +94,18 @@ def test_pairs_write_nothing_and_groups_no_texts(spark):
     assert pairs.count() > 0 and folder_bytes(spark).keys() == before.keys()
     linkage.story_groups(df).count()
     assert sum(v for p, v in folder_bytes(spark).items() if p not in before) < 100_000
+
+
+def test_events_move_no_texts(spark):
+    """The join of items and groups carries the length of a summary, not the summary."""
+    schema = "ordinal long, source string, source_tier string, source_channel string, source_time_kind string, published_us long, page string, title string, summary string"
+    df = spark.createDataFrame([(1, "a", "A", "news", "published", 5, "p", "t", "long text")], schema)
+    plan = linkage.events(df, spark.createDataFrame([(1, 1)], "ordinal long, story long"))._jdf.queryExecution().optimizedPlan()
+
+    def nodes(node):
+        yield node
+        for k in range(node.children().size()):
+            yield from nodes(node.children().apply(k))
+
+    joins = [n for n in nodes(plan) if n.nodeName() == "Join"]
+    assert joins and not any("summary#" in n.output().mkString(",") for n in joins)
