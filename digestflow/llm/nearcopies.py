@@ -36,7 +36,7 @@ BLOCK, CELL = 256, 1_024
 REMEMBERED = 200_000
 MAX_FILTER_BITS = 1 << 25
 _WORD = re.compile(r"[^\W_]+")
-_ASCII_BREAKS = {c: " " for c in range(128) if not chr(c).isalnum()}
+_ASCII_BREAKS = bytes(c if chr(c).isalnum() else 32 for c in range(128)) + bytes(128)
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 63, SKETCH_BITS, dtype=np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
@@ -67,7 +67,7 @@ def runs(text: str, words: WordHashes, width: int = 3) -> tuple[int, np.ndarray]
         joined = "".join(_WORD.findall(text))
         units = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     else:
-        found = text.translate(_ASCII_BREAKS).split() if plain else _WORD.findall(text)
+        found = text.encode("ascii").translate(_ASCII_BREAKS).decode("ascii").split() if plain else _WORD.findall(text)
         joined = " ".join(found)
         units = np.fromiter(map(words.__getitem__, found), dtype=np.uint64, count=len(found))
     if not joined:
@@ -80,12 +80,29 @@ def runs(text: str, words: WordHashes, width: int = 3) -> tuple[int, np.ndarray]
     return key, np.unique((_mix(mixed) >> np.uint64(32)).astype(np.uint32))
 
 
-def min_hashes(run_hashes: np.ndarray) -> np.ndarray:
+def min_hashes(run_hashes: np.ndarray, mixed_again: bool = True) -> np.ndarray:
     """SKETCH_BITS min-hashes of a set of run hashes."""
     least = np.full(SKETCH_BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for start in range(0, len(run_hashes), 8192):
         mixed = _mix(run_hashes[start : start + 8192].astype(np.uint64) + _M2)
         least = np.minimum(least, (mixed[None, :] * _A).min(axis=1))
+    return _mix(least) if mixed_again else least
+
+
+def all_min_hashes(run_hashes: list[np.ndarray], rows: int = 512) -> np.ndarray:
+    """The min-hashes of each of several sets, none of them empty, about `rows` run hashes at a time."""
+    least = np.empty((len(run_hashes), SKETCH_BITS), dtype=np.uint64)
+    ends = np.concatenate(([0], np.cumsum([len(r) for r in run_hashes])))
+    start = 0
+    while start < len(run_hashes):
+        stop = int(np.searchsorted(ends, ends[start] + rows, side="right")) - 1
+        if stop <= start:  # a long text alone
+            stop = start + 1
+            least[start] = min_hashes(run_hashes[start], False)
+        else:
+            mixed = _mix(np.concatenate(run_hashes[start:stop]).astype(np.uint64) + _M2)
+            least[start:stop] = np.minimum.reduceat(mixed[:, None] * _A.ravel(), ends[start:stop] - ends[start], axis=0)
+        start = stop
     return _mix(least)
 
 
@@ -109,7 +126,7 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if len(told) > REMEMBERED:
             told.clear()
         told.update(batch["text_key"])
-        mins = np.stack([min_hashes(np.frombuffer(r, dtype=np.uint32)) for r in batch["runs"]])
+        mins = all_min_hashes([np.frombuffer(r, dtype=np.uint32) for r in batch["runs"]])
         grouped = mins[:, : BANDS * ROWS].reshape(len(mins), BANDS, ROWS)
         band = grouped[:, :, 0].copy()
         for i in range(1, ROWS):

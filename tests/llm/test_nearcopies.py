@@ -122,3 +122,27 @@ def test_text_of_a_third_of_all_rows_is_banded_once_a_task(spark):
     runs = np.arange(50, dtype=np.uint32).tobytes()
     df = spark.createDataFrame([(i, 7, runs) for i in range(5000)], "ordinal long, text_key long, runs binary").coalesce(1)
     assert df.select("text_key", "runs").mapInPandas(nearcopies._bands, "band long, text_key long, s0 long, s1 long").count() == nearcopies.BANDS
+
+
+def test_min_hashes_of_many_texts_at_once():
+    import numpy as np
+
+    from digestflow.llm import nearcopies
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 32, int(n), dtype=np.uint32)) for n in [1, 3, 700, 9_000, 2, 511, 1, 512, 513, *rng.integers(1, 90, 60)]]
+    want = np.stack([nearcopies.min_hashes(s) for s in sets])
+    assert (nearcopies.all_min_hashes(sets) == want).all() and (nearcopies.all_min_hashes(sets[3:4]) == want[3:4]).all()
+    assert nearcopies.all_min_hashes([]).shape == (0, nearcopies.SKETCH_BITS)
+
+
+def test_ascii_words_are_cut_as_by_character():
+    import re
+
+    from digestflow.llm import nearcopies
+
+    words = nearcopies.WordHashes()
+    every = "".join(map(chr, range(128)))
+    for text in (every, every[::-1] + " a_b c-d\x1cE\x7f9", "___", ""):
+        slow = " ".join(re.findall(r"[^\W_]+", text.lower()))
+        assert nearcopies.runs(text, words)[0] == (nearcopies.xxhash.xxh64_intdigest(slow) >> 1 if slow else 0)
