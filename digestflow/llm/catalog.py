@@ -64,9 +64,13 @@ def p3_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_bodies(table(spark, sf_dir, "raw_items"), table(spark, sf_dir, "sources")).select("ordinal", "body")
 
 
+def _digested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bodies = pages.main_bodies(all_records(spark, sf_dir), table(spark, sf_dir, "sources"), F.col("counted"), then=nearcopies._digest, schema=nearcopies.DIGESTS)
+    return cut(bodies, "runs")
+
+
 def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = pages.main_bodies(all_records(spark, sf_dir), table(spark, sf_dir, "sources"), F.col("counted"))
-    return nearcopies.groups(bodies)
+    return nearcopies.grouped(_digested(spark, sf_dir))
 
 
 @register("p1_found")
@@ -88,7 +92,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("p1_recall")
 def p1_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digested = nearcopies.digests(pages.main_bodies(all_records(spark, sf_dir), table(spark, sf_dir, "sources"), F.col("counted")))
+    digested = _digested(spark, sf_dir)
     return nearcopies.link_recall(digested, nearcopies.links(digested))
 
 

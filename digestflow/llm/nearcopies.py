@@ -7,8 +7,9 @@ Records with one and the same text are one node throughout: a task bands a text
 and are dropped there, so a text repeated in a third of all rows costs a few rows for each task.
 
 With 42 bands of 3 hashes (all the sketch has) a link at exactly one half is proposed with probability 0.996, at 0.6 with 0.99995; what no band
-proposes is not found. The sketch radius is four standard deviations beyond the expected distance at one half. The band rows carry the sketch; a task turns the
-sketches of its sorted buckets into vertical planes once and compares each bucket where it lies. Buckets larger than a block go out as packed blocks of
+proposes is not found. The sketch radius is four standard deviations beyond the expected distance at one half. The band rows carry the sketch and travel packed
+by slot, a slot for every million of them; a task sorts its slot, turns the
+sketches of the buckets into vertical planes once and compares each bucket where it lies. Buckets larger than a block go out as packed blocks of
 planes, and each pair of blocks is one row of work for some task. Records without any word match nothing; null titles and summaries count as empty; rows repeated under
 other ordinals are members of one group.
 """
@@ -16,7 +17,7 @@ other ordinals are members of one group.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,11 +34,13 @@ from digestflow.session import cut
 BANDS, ROWS, SKETCH_BITS = 42, 3, 128
 THRESHOLD, RADIUS = 0.5, 52
 BLOCK, CELL = 256, 1_024
+SLOT, PIECE, HELD = 1_000_000, 200_000, 4_000_000
 REMEMBERED = 200_000
 MAX_FILTER_BITS = 1 << 25
 _WORD = re.compile(r"[^\W_]+")
-_ASCII_BREAKS = bytes(c if chr(c).isalnum() else 32 for c in range(128)) + bytes(128)
+_ASCII_BREAKS = bytes(c if chr(c).isalnum() else 32 for c in range(128)).lower() + bytes(128)
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
+DIGESTS = "ordinal long, text_key long, runs binary"
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 63, SKETCH_BITS, dtype=np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -59,25 +62,76 @@ class WordHashes(dict):
         return h
 
 
-def runs(text: str, words: WordHashes, width: int = 3) -> tuple[int, np.ndarray]:
-    """Key of the normalised text and the sorted distinct hashes (32 bits) of its runs; key 0 for a text without words."""
+def _words(text: str) -> tuple[str, list[str] | None]:
+    """The text in lower case without punctuation, and its words; no list for a text of Chinese characters."""
+    if text.isascii():
+        found = text.encode("ascii").translate(_ASCII_BREAKS).decode("ascii").split()
+        return " ".join(found), found
     text = text.lower()
-    plain = text.isascii()
-    if not plain and len(_HAN.findall(text)) * 4 > len(text):
-        joined = "".join(_WORD.findall(text))
-        units = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    else:
-        found = text.encode("ascii").translate(_ASCII_BREAKS).decode("ascii").split() if plain else _WORD.findall(text)
-        joined = " ".join(found)
-        units = np.fromiter(map(words.__getitem__, found), dtype=np.uint64, count=len(found))
-    if not joined:
-        return 0, np.empty(0, dtype=np.uint32)
-    key = xxhash.xxh64_intdigest(joined) >> 1
-    width = min(width, len(units))
-    mixed = units[: len(units) - width + 1].copy()
+    found = _WORD.findall(text)
+    if len(_HAN.findall(text)) * 4 > len(text):
+        return "".join(found), None
+    return " ".join(found), found
+
+
+def all_runs(texts: Iterable[str], words: WordHashes, width: int = 3, held: int = 100_000) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Keys of the normalised texts and the sorted distinct hashes (32 bits) of the runs of each, some `held` words at a time; key 0 for a text without words."""
+    keys: list[int] = []
+    parts: list[np.ndarray] = []
+    lengths: list[int] = []
+    pending: list[str] = []
+    size = 0
+
+    def flush() -> None:
+        if pending:
+            parts.append(np.fromiter(map(words.__getitem__, pending), dtype=np.uint64, count=len(pending)))
+            pending.clear()
+
+    def finish() -> tuple[list[int], list[np.ndarray]]:
+        flush()
+        return keys, _distinct_runs(np.concatenate([*parts, np.empty(0, dtype=np.uint64)]), np.array(lengths), width)
+
+    for text in texts:
+        joined, found = _words(text)
+        if found is None:
+            flush()
+            parts.append(np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64))
+            lengths.append(len(joined))
+        else:
+            pending.extend(found)
+            lengths.append(len(found))
+        keys.append(xxhash.xxh64_intdigest(joined) >> 1 if joined else 0)
+        size += lengths[-1]
+        if size >= held:
+            yield finish()
+            keys, parts, lengths, size = [], [], [], 0
+    if keys:
+        yield finish()
+
+
+def _distinct_runs(units: np.ndarray, lengths: np.ndarray, width: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the runs of each text, whose units follow one another; a text of fewer units than a run is one run."""
+    ends = np.cumsum(lengths)
+    counts = np.where(lengths > 0, np.maximum(lengths - width + 1, 1), 0)
+    text = np.repeat(np.arange(len(lengths), dtype=np.uint64), counts)
+    at = np.arange(len(text)) + np.repeat(ends - lengths - (np.cumsum(counts) - counts), counts)
+    short = np.repeat(lengths, counts) if (lengths < width).any() else None
+    mixed = units[at]
     for i in range(1, width):
-        mixed = mixed * _M1 + (units[i : len(units) - width + 1 + i] ^ _M2)
-    return key, np.unique((_mix(mixed) >> np.uint64(32)).astype(np.uint32))
+        if short is None:
+            mixed = mixed * _M1 + (units[at + i] ^ _M2)
+        else:
+            more = short > i
+            mixed[more] = mixed[more] * _M1 + (units[at[more] + i] ^ _M2)
+    both = np.sort(text << np.uint64(32) | _mix(mixed) >> np.uint64(32))
+    both = both[np.concatenate((np.ones(min(1, len(both)), dtype=bool), both[1:] != both[:-1]))]
+    return np.split(both.astype(np.uint32), np.searchsorted(both, np.arange(1, len(lengths), dtype=np.uint64) << np.uint64(32))) if len(lengths) else []
+
+
+def runs(text: str, words: WordHashes, width: int = 3) -> tuple[int, np.ndarray]:
+    """Key and runs of one text."""
+    keys, found = next(all_runs([text], words, width))
+    return keys[0], found[0]
 
 
 def min_hashes(run_hashes: np.ndarray, mixed_again: bool = True) -> np.ndarray:
@@ -89,8 +143,8 @@ def min_hashes(run_hashes: np.ndarray, mixed_again: bool = True) -> np.ndarray:
     return _mix(least) if mixed_again else least
 
 
-def all_min_hashes(run_hashes: list[np.ndarray], rows: int = 512) -> np.ndarray:
-    """The min-hashes of each of several sets, none of them empty, about `rows` run hashes at a time."""
+def all_min_hashes(run_hashes: list[np.ndarray], rows: int = 8192, columns: int = 16) -> np.ndarray:
+    """The min-hashes of each of several sets, none of them empty, about `rows` run hashes and `columns` of the min-hashes at a time."""
     least = np.empty((len(run_hashes), SKETCH_BITS), dtype=np.uint64)
     ends = np.concatenate(([0], np.cumsum([len(r) for r in run_hashes])))
     start = 0
@@ -101,7 +155,8 @@ def all_min_hashes(run_hashes: list[np.ndarray], rows: int = 512) -> np.ndarray:
             least[start] = min_hashes(run_hashes[start], False)
         else:
             mixed = _mix(np.concatenate(run_hashes[start:stop]).astype(np.uint64) + _M2)
-            least[start:stop] = np.minimum.reduceat(mixed[:, None] * _A.ravel(), ends[start:stop] - ends[start], axis=0)
+            for i in range(0, SKETCH_BITS, columns):
+                least[start:stop, i : i + columns] = np.minimum.reduceat(mixed[None, :] * _A[i : i + columns], ends[start:stop] - ends[start], axis=1).T
         start = stop
     return _mix(least)
 
@@ -109,8 +164,11 @@ def all_min_hashes(run_hashes: list[np.ndarray], rows: int = 512) -> np.ndarray:
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words = WordHashes()
     for batch in batches:
-        out = [runs(f"{t or ''} {b or ''}", words) for t, b in zip(batch["title"], batch["body"], strict=True)]
-        yield pd.DataFrame({"ordinal": batch["ordinal"], "text_key": [k for k, _ in out], "runs": [r.tobytes() for _, r in out]})
+        keys, found = [], []
+        for some, those in all_runs((f"{t or ''} {b or ''}" for t, b in zip(batch["title"], batch["body"], strict=True)), words):
+            keys += some
+            found += [r.tobytes() for r in those]
+        yield pd.DataFrame({"ordinal": batch["ordinal"], "text_key": keys, "runs": found})
 
 
 @skip_empty
@@ -136,18 +194,28 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"band": band.ravel(), "text_key": np.repeat(batch["text_key"].to_numpy(), BANDS), "s0": np.repeat(sketch[:, 0], BANDS), "s1": np.repeat(sketch[:, 1], BANDS)})
 
 
-def _joined(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[np.ndarray]:
-    """The batches as (band, text_key, s0, s1) arrays of about `rows` rows."""
-    held: list[np.ndarray] = []
-    size = 0
-    for batch in batches:
-        held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1))
-        size += batch.num_rows
-        if size >= rows:
-            yield np.concatenate(held)
-            held, size = [], 0
-    if size:
-        yield np.concatenate(held)
+def _slotted(slots: int, held: int = 500_000):
+    """Function for mapInPandas: the rows of _bands (four numbers each) packed by slot, a slot's rows of about `held` / BANDS texts in one value."""
+
+    def pack(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = np.concatenate([f.to_numpy() for f in frames])
+        slot = rows[:, 0] % slots
+        order = np.argsort(slot.astype(np.int32), kind="stable")
+        rows, ends = rows[order], np.cumsum(np.bincount(slot, minlength=slots))
+        used = np.flatnonzero(np.diff(ends, prepend=0))
+        return pd.DataFrame({"slot": used.astype(np.int32), "rows": [p.tobytes() for p in np.split(rows, ends[used[:-1]])]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frames: list[pd.DataFrame] = []
+        for frame in _bands(batches):
+            frames.append(frame)
+            if sum(map(len, frames)) >= held:
+                yield pack(frames)
+                frames = []
+        if frames:
+            yield pack(frames)
+
+    return run
 
 
 def _bucket_pairs(part: np.ndarray) -> np.ndarray:
@@ -182,45 +250,59 @@ def _sorted(rows: np.ndarray) -> np.ndarray:
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input sorted by band. Pairs (a, b) of the buckets up to BLOCK texts; larger buckets go out as packed blocks (band, keys, planes)."""
-    held = np.empty((0, 4), dtype=np.int64)
-    large: int | None = None
+    """Packed rows of one slot or several. Pairs (a, b) of the buckets up to BLOCK texts; larger buckets go out as packed blocks (band, keys, planes)."""
+    held: list[np.ndarray] = []
+    large = np.empty(0, dtype=np.int64)
+    size, limit = 0, HELD
 
-    def finish(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(rows):
-            return
-        beside = np.concatenate(([False], rows[1:, 0] == rows[:-1, 0]))
-        rows = rows[beside | np.append(beside[1:], False)]  # a text alone in its bucket meets none
-        if not len(rows):
-            return
+    def packed(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         rows = _sorted(rows)
-        starts = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
-        sizes = np.diff(np.append(starts, len(rows)))
-        found = _bucket_pairs(rows[np.repeat(sizes <= BLOCK, sizes)])
-        none = pa.nulls(len(found), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(np.zeros(len(found), dtype=np.int64)), none, none], schema=_NEAR)
-        for start, size in zip(starts[sizes > BLOCK], sizes[sizes > BLOCK], strict=True):
-            yield _pack(rows[start : start + size])
-
-    for rows in _joined(batches):
-        held = np.concatenate([held, rows])
-        if large is not None:
-            more = held[:, 0] == large
-            if more.any():
-                yield _pack(_sorted(held[more]))
-            held = held[~more]
-            if not len(held):
-                continue
-            large = None
-        last = held[:, 0] == held[-1, 0]  # the last bucket may go on
-        yield from finish(held[~last])
-        held = held[last]
-        if len(held) > 64 * CELL:  # it does not pile up
-            large = int(held[0, 0])
-            yield _pack(_sorted(held))
-            held = held[:0]
-    if len(held):
-        yield from finish(held)
+        for part in np.split(rows, np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1):
+            yield _pack(part)
+
+    def finish(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(rows[:, 0])
+        band = rows[order, 0]
+        beside = np.concatenate(([False], band[1:] == band[:-1]))
+        rows = rows[order[beside | np.append(beside[1:], False)]]  # a text alone in its bucket meets none
+        found = [np.empty((0, 2), dtype=np.int64)]
+        start = 0
+        while start < len(rows):
+            stop = start + PIECE
+            if stop < len(rows):  # to the end of the bucket
+                stop = int(np.searchsorted(rows[:, 0], rows[stop, 0], side="right"))
+            piece = _sorted(rows[start:stop])
+            starts = np.flatnonzero(np.concatenate(([True], piece[1:, 0] != piece[:-1, 0])))
+            sizes = np.diff(np.append(starts, len(piece)))
+            found.append(_bucket_pairs(piece[np.repeat(sizes <= BLOCK, sizes)]))
+            for i, n in zip(starts[sizes > BLOCK], sizes[sizes > BLOCK], strict=True):
+                yield _pack(piece[i : i + n])
+            start = stop
+        pairs = np.unique(np.concatenate(found), axis=0)
+        none = pa.nulls(len(pairs), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.zeros(len(pairs), dtype=np.int64)), none, none], schema=_NEAR)
+
+    for batch in batches:
+        for value in batch.column("rows"):
+            held.append(np.frombuffer(value.as_buffer(), dtype=np.int64).reshape(-1, 4))
+            size += len(held[-1])
+            if size > limit:  # a very large bucket does not pile up
+                rows = np.concatenate(held)
+                band, n = np.unique(rows[:, 0], return_counts=True)
+                large = np.union1d(large, band[n > 64 * CELL])
+                go = np.isin(rows[:, 0], large)
+                if go.any():
+                    yield from packed(rows[go])
+                held = [rows[~go]]
+                size = len(held[0])
+                limit = max(HELD, 2 * size)
+    if size:
+        rows = np.concatenate(held)
+        held.clear()
+        if len(large) and (go := np.isin(rows[:, 0], large)).any():
+            yield from packed(rows[go])
+            rows = rows[~go]
+        yield from finish(rows)
 
 
 @skip_empty
@@ -249,7 +331,7 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def digests(bodies: DataFrame) -> DataFrame:
     """bodies(ordinal, title, body) to a written table (ordinal, text_key, runs)."""
-    return cut(bodies.select("ordinal", "title", "body").mapInPandas(_digest, "ordinal long, text_key long, runs binary"), "runs")
+    return cut(bodies.select("ordinal", "title", "body").mapInPandas(_digest, DIGESTS), "runs")
 
 
 def _filter_bits(keys: DataFrame, bits: int) -> np.ndarray:
@@ -284,7 +366,9 @@ def _wanted(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def candidates(texts: DataFrame) -> DataFrame:
     """(a, b): pairs of different texts(text_key, runs) that share a band and whose sketches lie within the radius."""
-    banded = texts.mapInPandas(_bands, "band long, text_key long, s0 long, s1 long").repartition("band").sortWithinPartitions("band")
+    rows = texts.count() * BANDS
+    slots = 1 + max(rows // SLOT, min(8 * rows // SLOT, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1))
+    banded = texts.mapInPandas(_slotted(slots), "slot int, rows binary").repartitionById(slots, "slot")
     near = cut(banded.mapInArrow(_buckets, "a long, b long, band long, keys binary, planes binary"), "near")
     blocks = near.where("keys is not null").select("band", F.xxhash64("keys").alias("i"), "keys", "planes")
     left, right = (blocks.select("band", F.col("i").alias(f"i_{s}"), F.col("keys").alias(f"keys_{s}"), F.col("planes").alias(f"planes_{s}")) for s in "xy")
@@ -326,7 +410,11 @@ def link_recall(digested: DataFrame, found: DataFrame, every: int = 20) -> DataF
 
 def groups(bodies: DataFrame) -> DataFrame:
     """(ordinal, group_id) of every record with words; group_id is the least text key of the component."""
-    digested = digests(bodies)
+    return grouped(digests(bodies))
+
+
+def grouped(digested: DataFrame) -> DataFrame:
+    """groups() of a written table (ordinal, text_key, runs)."""
     components = connected_components(links(digested)).select(F.col("node").alias("text_key"), "component")
     return digested.where("text_key <> 0").select("ordinal", "text_key").join(components, "text_key", "left").select("ordinal", F.coalesce("component", "text_key").alias("group_id"))
 

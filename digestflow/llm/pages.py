@@ -21,7 +21,7 @@ Null and empty summaries have an empty body. Two passes: one gathers counts, one
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +38,7 @@ FLOOR = 6
 LONG, PLAIN = 200, 60
 PHRASE, HAN_PHRASE = 42, 7
 MAX_BROADCAST_FEATURES = 300_000
+BODIES = "ordinal long, source string, title string, summary string, dropped array<int>, body string"
 
 _TERMINAL = re.compile(r"[.!?。！？][\"'”’」』)）»]*\s*\Z")
 _ITEM = re.compile(r"^\s*[-–]\s+\S")
@@ -45,15 +46,19 @@ _NUMBERED = re.compile(r"^\s*\d+[.、)]\s*\S")
 _LABEL = re.compile(r"^\W*([^\W_](?:[^:：。！？!?]{0,34}[^\s:：。！？!?])?)\s?[:：](?!//)\s*\S")
 # Fixed by the problem's statement: closing lines that are main body.
 _CLOSING = re.compile(
-    r"^\s*(?:tags?|topics?|keywords?|标签|关键词)\s*[:：]|^\s*(?:full notes|全文|详情见|完整说明)\s*[:：]?\s*https?:|^\s*[—–-]{1,2}\s*(?:the\s.{1,60}\sdesk|.{1,30}编辑部)\s*$|[(（](?:part|第)\s*\d+\s*(?:部分|篇|期|章|节)?[)）]\s*$",
+    r"\s*(?:(?:tags?|topics?|keywords?|标签|关键词)\s*[:：]|(?:full notes|全文|详情见|完整说明)\s*[:：]?\s*https?:|[—–-]{1,2}\s*(?:the\s.{1,60}\sdesk|.{1,30}编辑部)\s*$)",
     re.I,
 )
+_PART = re.compile(r"[(（](?:part|第)\s*\d+\s*(?:部分|篇|期|章|节)?[)）]\s*$", re.I)
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
 _PHRASE_END = re.compile(r"\s*[|·>/»•,、]\s*|\s{2,}|\s*　\s*|(?<=[.!?])\s+|(?<=[。！？])")
 _HAN_PHRASE_END = re.compile(_PHRASE_END.pattern + r"|\s")
 _WORDS = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
 _LETTER = re.compile(r"[^\W_]")
 _DIGITS = re.compile(r"\d+")
+_NINES = re.compile(r"9+")
+_ASCII_END = re.compile(r"[.!?]\s+")
+_NOT_TITLE = re.compile(r"[^\w\s'’-]")
 _BREAKS = re.compile(r"[\W_]+")
 _NAME = re.compile(r"[A-Z][^\W\d_]{4,}")
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
@@ -67,7 +72,7 @@ def is_item(line: str) -> bool:
 
 def is_closing(line: str) -> bool:
     """A closing line of the main body: tags, a link to the notes, a desk signature or a part number."""
-    return _CLOSING.search(line) is not None
+    return _CLOSING.match(line) is not None or (line.rstrip().endswith((")", "）")) and _PART.search(line) is not None)
 
 
 def _hash(*parts: str) -> int:
@@ -79,8 +84,42 @@ def _story(title: str | None) -> int:
     return _hash(max(names, key=len).lower() if names else "")
 
 
+# ASCII lines, most of all, are told by bytes: words in lower case with each digit as 9; a line of what can end a phrase.
+_FOLDED = bytes(57 if chr(c).isdigit() else ord(chr(c).lower()) if chr(c).isalpha() else 32 for c in range(128)) + bytes(128)
+_DAYS = frozenset(d + m + e for d in ("mon", "tue", "wed", "thu", "fri", "sat", "sun") for m in ("", "s", "nes", "rs", "ur") for e in ("", "day"))
+_ENDS = bytes(10 if chr(c) in "|>/,.!?" or (chr(c).isspace() and c != 32) else c for c in range(128)) + bytes(128)
+_ASCII_DIGITS = b"0123456789"
+
+
+def _wide(text: str) -> bool:
+    """Whether an ASCII text surely has a phrase of more than PHRASE characters; a few such texts are not told."""
+    if len(text) <= PHRASE or "  " in text:
+        return False
+    return any(len(p) > PHRASE and len(p.strip()) > PHRASE and p.upper() != p.lower() for p in text.encode("ascii").translate(_ENDS, _ASCII_DIGITS).split(b"\n"))
+
+
+def _sentences(text: str, ascii: bool) -> list[str]:
+    if not ascii and ("。" in text or "！" in text or "？" in text):
+        return [s for s in _SENTENCE_END.split(text) if s]
+    start, out = 0, []
+    for end in _ASCII_END.finditer(text):
+        out.append(text[start : end.start() + 1])
+        start = end.end()
+    if start < len(text):
+        out.append(text[start:])
+    return out
+
+
 def _plain(text: str, site: str) -> str:
     """Words in lower case with numbers, weekdays and the host's own name replaced."""
+    if text.isascii():
+        words = text.encode("ascii").translate(_FOLDED).decode("ascii").split()
+        short = " ".join(words)
+        if "99" in short:
+            short = _NINES.sub("9", short)
+        if site and site in short:
+            return _DAY.sub("9", short.replace(site, "@"))
+        return short if _DAYS.isdisjoint(words) else " ".join(["9" if w in _DAYS else w for w in short.split()])
     text = _BREAKS.sub(" ", _DIGITS.sub("9", text.lower())).strip()
     return _DAY.sub("9", text.replace(site, "@") if site else text)
 
@@ -103,25 +142,28 @@ def _node(line: str, following: str | None, site: str) -> tuple[str, str, list[l
     if _NUMBERED.match(line):
         return "numbered", str(text.count(" ")), [["9."]]
     terminal = _TERMINAL.search(text[-6:]) is not None
-    han = _HAN.search(line) is not None
+    ascii = text.isascii()
+    han = not ascii and _HAN.search(line) is not None
     if not terminal:
         if following is not None and _NUMBERED.match(following):
             return "heading", str(text.count(" ")), [["9."]]
         if label := _LABEL.match(line):
             return "label", str(text.count(" ")), [[_DIGITS.sub("9", label[1].lower())]]
-    phrases = [p for p in (_HAN_PHRASE_END if han else _PHRASE_END).split(_DIGITS.sub("9", text)) if _LETTER.search(p)]
-    if len(phrases) >= 2 and (not terminal or len(phrases) >= 3) and all(len(p) <= (HAN_PHRASE if han else PHRASE) for p in phrases):
-        words = [_plain(p, site) for p in phrases] if han else _plain(text, site).split()
-        return "menu", str(len(phrases)), [[w] for w in words]
-    words = _WORDS.findall(line)
-    if not terminal and not han and 2 <= len(words) <= 14 and all(w[0].isupper() for w in words) and not re.search(r"[^\w\s'’-]", text):
-        return "menu", str(len(words)), [[w.lower()] for w in words]
-    sentences = [s for s in _SENTENCE_END.split(text) if s]
+    if not (ascii and _wide(text)):
+        phrases = [p for p in (_HAN_PHRASE_END if han else _PHRASE_END).split(_DIGITS.sub("9", text)) if _LETTER.search(p)]
+        if len(phrases) >= 2 and (not terminal or len(phrases) >= 3) and all(len(p) <= (HAN_PHRASE if han else PHRASE) for p in phrases):
+            words = [_plain(p, site) for p in phrases] if han else _plain(text, site).split()
+            return "menu", str(len(phrases)), [[w] for w in words]
+    if not terminal and not han and not _NOT_TITLE.search(text):
+        words = _WORDS.findall(line)
+        if 2 <= len(words) <= 14 and all(w[0].isupper() for w in words):
+            return "menu", str(len(words)), [[w.lower()] for w in words]
+    sentences = _sentences(text, ascii)
     shape = " ".join([str(len(s) >> 3) for s in sentences])
     if terminal and len(line) > PLAIN:
         leaves = [[s.lower() if len(s) > PLAIN else _plain(s, site)] for s in sentences]
     elif len(sentences) == 1:
-        whole = terminal and (len(text) > 12 if han else len(words) > 6)
+        whole = terminal and (len(text) > 12 if han else len(_WORDS.findall(line)) > 6)
         leaves = [[_plain(text, site)] if whole else _templates(_plain(text, site), han)]
     else:
         leaves = [[_plain(s, site)] for s in sentences]
@@ -137,15 +179,16 @@ def _site(name: str | None) -> str:
 
 
 _ASCII_OTHER = bytes(c for c in range(128) if not chr(c).isalpha())
+_LOWER = bytes(range(128)).lower() + bytes(range(128, 256))
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def _line_key(source: str | None, line: str) -> int | None:
     """Identifier of a line within its source: the hash of its letters; None without letters."""
-    letters = line.encode("utf-8", "surrogatepass").translate(None, _ASCII_OTHER).decode("utf-8", "surrogatepass").lower()
+    letters = line.encode("utf-8", "surrogatepass").translate(_LOWER, _ASCII_OTHER)
     if not letters.isascii():
-        letters = _NO_LETTERS.sub("", letters)
-    return _hash("line", source or "", letters) if letters else None
+        letters = _NO_LETTERS.sub("", letters.decode("utf-8", "surrogatepass").lower()).encode("utf-8")
+    return xxhash.xxh64_intdigest(b"line\x1f%b\x1f%b" % ((source or "").encode("utf-8"), letters)) - (1 << 63) if letters else None
 
 
 def _prepare(records: DataFrame, sources: DataFrame | None) -> DataFrame:
@@ -223,16 +266,22 @@ def style_tree(prepared: DataFrame, min_rows: int = lines.MIN_ROWS, min_share: f
 
 def _is_noise(style: str, leaves: list[list[str]], host: int, known: dict[int, float], presented: dict[str, float], threshold: float) -> bool:
     """Whether a line and everything below it is of low importance."""
-    values = []
+    values, shown = [], (1.0 - GAMMA) * presented.get(style, 1.0)
+    alone = style != "menu" and shown + GAMMA >= threshold  # one leaf of full importance decides
     for leaf in leaves:
-        keys = [_hash(style, f) for f in leaf]
-        values.append(min(min(known.get(k, 1.0), known.get(_own_key(k, host), 1.0)) for k in keys))
+        least = 1.0
+        for f in leaf:
+            k = _hash(style, f)
+            least = min(least, known.get(k, 1.0), known.get(_own_key(k, host), 1.0))
+        if alone and least >= 1.0:
+            return False
+        values.append(least)
     content = sum(values) / len(values) if style == "menu" else max(values)
-    return (1.0 - GAMMA) * presented.get(style, 1.0) + GAMMA * content < threshold
+    return shown + GAMMA * content < threshold
 
 
-def _mark(shared: object, presented: dict[str, float], threshold: float):
-    """Function for mapInPandas adding `dropped` (line numbers) and `body` to each record."""
+def _mark(shared: object, presented: dict[str, float], threshold: float, then: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] | None = None):
+    """Function for mapInPandas adding `dropped` (line numbers) and `body` to each record; and what is to follow."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = dict(zip(*(a.tolist() for a in shared.value), strict=True)) if shared is not None else None
@@ -255,7 +304,7 @@ def _mark(shared: object, presented: dict[str, float], threshold: float):
             out["dropped"], out["body"] = dropped, bodies
             yield out
 
-    return run
+    return run if then is None else lambda batches: then(run(batches))
 
 
 @skip_empty
@@ -272,9 +321,10 @@ def _own_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["_o", "key"]).astype({"_o": "int64", "key": "int64"})
 
 
-def main_bodies(records: DataFrame, sources: DataFrame | None = None, counted: Column | None = None, importance: float = IMPORTANCE, broadcast_limit: int = MAX_BROADCAST_FEATURES) -> DataFrame:
+def main_bodies(records: DataFrame, sources: DataFrame | None = None, counted: Column | None = None, importance: float = IMPORTANCE, broadcast_limit: int = MAX_BROADCAST_FEATURES, then: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] | None = None, schema: str = BODIES) -> DataFrame:
     """records(ordinal, source, title, summary) with `dropped` ARRAY<INT> (numbers of the removed lines) and `body`.
 
+    then: makes rows of `schema` of these in the same batches, so that no text goes through Spark once more.
     counted: whether a record counts when lines repeated within a source are sought; all do by default. Records without ordinal give no row.
     """
     told = records.where("ordinal is not null").select("ordinal", "source", "title", "summary", (F.lit(True) if counted is None else counted).alias("counted"))
@@ -284,13 +334,12 @@ def main_bodies(records: DataFrame, sources: DataFrame | None = None, counted: C
     # a leaf that cannot bring its line below the threshold need not be known
     low = tree.where(~F.col("style").startswith("~") & (F.col("importance") < importance / GAMMA)).groupBy("key").agg(F.min("importance").alias("importance"))
     rows = low.limit(broadcast_limit + 1).toPandas()
-    schema = "ordinal long, source string, title string, summary string, dropped array<int>, body string"
     if len(rows) <= broadcast_limit:
         shared = records.sparkSession.sparkContext.broadcast((rows["key"].to_numpy(dtype="int64"), rows["importance"].to_numpy(dtype="float64")))
-        return prepared.mapInPandas(_mark(shared, presented, importance), schema)
+        return prepared.mapInPandas(_mark(shared, presented, importance, then), schema)
     own = prepared.mapInPandas(_own_features, "_o long, key long").join(low, "key").groupBy("_o").agg(F.collect_list(F.struct("key", "importance")).alias("_known"))
     joined = prepared.join(own, F.col("ordinal") == F.col("_o"), "left").drop("_o").withColumn("_known", F.coalesce("_known", F.expr("array()").cast("array<struct<key: bigint, importance: double>>")))
-    return joined.mapInPandas(_mark(None, presented, importance), schema)
+    return joined.mapInPandas(_mark(None, presented, importance, then), schema)
 
 
 def removed_lines(records: DataFrame, sources: DataFrame | None = None) -> DataFrame:

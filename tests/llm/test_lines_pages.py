@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import pytest
@@ -85,3 +86,17 @@ def test_importance_decides_and_not_words(items):
     rows.append((999, "s1", "Story Single tells", "Quax the dozing gadget here\n" + body % ("solo", 7)))
     got = {r.ordinal: list(r.dropped) for r in pages.main_bodies(items(rows)).collect()}
     assert all(got[i] == [1] for i in range(120)) and got[999] == []
+
+
+def test_ascii_lines_are_told_as_by_patterns():
+    rng = random.Random(9)
+    bits = ["Monday", "suns", "mon", "9", "12 30", " ", "  ", "\t", "\x1c", "_", "-", ".", "! ", "? ", ". ", "|", " > ", "/", ",", "Site", "news", "a" * 45, "Part (part 3)", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(1, 12))).strip()
+        site = rng.choice(["", "site news", "mon"])
+        slow = pages._BREAKS.sub(" ", pages._DIGITS.sub("9", text.lower())).strip()
+        assert pages._plain(text, site) == pages._DAY.sub("9", slow.replace(site, "@") if site else slow)
+        assert pages._sentences(text, text.isascii()) == [s for s in pages._SENTENCE_END.split(text) if s]
+        phrases = [p for p in pages._PHRASE_END.split(pages._DIGITS.sub("9", text)) if pages._LETTER.search(p)]
+        assert not (text.isascii() and pages._wide(text)) or any(len(p) > pages.PHRASE for p in phrases)
+    assert pages._wide("words " * 20) and not pages._wide("word, " * 20)

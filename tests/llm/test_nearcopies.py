@@ -146,3 +146,73 @@ def test_ascii_words_are_cut_as_by_character():
     for text in (every, every[::-1] + " a_b c-d\x1cE\x7f9", "___", ""):
         slow = " ".join(re.findall(r"[^\W_]+", text.lower()))
         assert nearcopies.runs(text, words)[0] == (nearcopies.xxhash.xxh64_intdigest(slow) >> 1 if slow else 0)
+
+
+def test_runs_of_many_texts_at_once():
+    import re
+
+    def slow(text):
+        text = text.lower()
+        han = len(re.findall("[㐀-䶿一-鿿]", text)) * 4 > len(text)
+        found = re.findall(r"[^\W_]+", text)
+        units = [ord(c) for c in "".join(found)] if han else [nearcopies.xxhash.xxh64_intdigest(w) for w in found]
+        out = set()
+        for i in range(max(1, len(units) - 2) if units else 0):
+            mixed = units[i]
+            for u in units[i + 1 : i + 3]:
+                mixed = (mixed * int(nearcopies._M1) + (u ^ int(nearcopies._M2))) % 2**64
+            out.add(int(nearcopies._mix(np.array([mixed], dtype=np.uint64))[0]) >> 32)
+        return sorted(out)
+
+    rng = np.random.default_rng(6)
+    texts = ["", "One", "one two", "İx K _y_", "模型", "模型 发布 新 模型发布", "...", "a b c a b c a b c", *(sentence(rng, int(n)) for n in rng.integers(1, 60, 40)), ""]
+    for held in (1, 50, 100_000):
+        found = [r for _, some in nearcopies.all_runs(texts, nearcopies.WordHashes(), held=held) for r in some]
+        assert [r.tolist() for r in found] == [slow(t) for t in texts]
+
+
+def test_band_rows_travel_packed_by_slot(spark):
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i + 1, rng.integers(0, 1 << 32, 20, dtype=np.uint32).tobytes()) for i in range(300)], "text_key long, runs binary").coalesce(1)
+    packed = df.mapInPandas(nearcopies._slotted(5), "slot int, rows binary").collect()
+    assert sorted(r.slot for r in packed) == [0, 1, 2, 3, 4]  # not one row for each text and band
+    rows = np.concatenate([np.frombuffer(r.rows, dtype=np.int64).reshape(-1, 4) for r in packed])
+    assert all((np.frombuffer(r.rows, dtype=np.int64).reshape(-1, 4)[:, 0] % 5 == r.slot).all() for r in packed)
+    plain = df.mapInPandas(nearcopies._bands, "band long, text_key long, s0 long, s1 long").collect()
+    assert sorted(map(tuple, rows.tolist())) == sorted(map(tuple, plain)) and len(rows) == 300 * nearcopies.BANDS
+
+
+@pytest.mark.parametrize(("held", "piece", "cell"), [(4_000_000, 200_000, 1_024), (4_000_000, 7, 1_024), (400, 50, 2)])
+def test_a_bucket_that_piles_up_goes_out_in_blocks(monkeypatch, held, piece, cell):
+    import pyarrow as pa
+
+    monkeypatch.setattr(nearcopies, "HELD", held)
+    monkeypatch.setattr(nearcopies, "PIECE", piece)
+    monkeypatch.setattr(nearcopies, "CELL", cell)
+    rng = np.random.default_rng(8)
+    sketches = rng.integers(0, 1 << 62, (900, 2), dtype=np.int64)
+    sketches[::2] = sketches[0]
+    band = np.where(np.arange(900) < 500, 3, rng.integers(10, 40, 900))
+    rows = np.column_stack([band, np.arange(1, 901), sketches])
+    rows = rng.permutation(np.concatenate([rows, rows[100:130], rows[880:]]))
+    batches = [pa.RecordBatch.from_arrays([pa.array([p.tobytes() for p in np.array_split(some, 3)], pa.binary())], names=["rows"]) for some in np.array_split(rows, 10)]
+    out = pa.Table.from_batches(nearcopies._buckets(iter(batches))).to_pandas()
+    got = set(map(tuple, out[out["keys"].isna()][["a", "b"]].to_numpy().tolist()))
+    blocks = out[out["keys"].notna()]
+    assert set(blocks["band"]) == {3}
+    assert set(np.concatenate([np.frombuffer(k, dtype=np.int64) for k in blocks["keys"]]).tolist()) == set(range(1, 501))
+    want = set()
+    for b in set(band) - {3}:
+        at = np.flatnonzero(band == b)
+        near = np.bitwise_count(sketches[at][:, None] ^ sketches[at][None]).sum(axis=2) <= nearcopies.RADIUS
+        want |= {(int(at[i]) + 1, int(at[j]) + 1) for i, j in zip(*np.nonzero(near), strict=True) if i < j}
+    assert got == want
+
+
+def test_digests_in_the_task_that_marks_lines(items):
+    from digestflow.llm import pages
+
+    df = items([(i, "s", f"Title {i}", f"Some words of text {i % 3} here.\nAnd a line more.") for i in range(30)])
+    want = nearcopies.digests(pages.main_bodies(df)).collect()
+    got = pages.main_bodies(df, then=nearcopies._digest, schema=nearcopies.DIGESTS).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 30
